@@ -31,12 +31,19 @@ def synthetic_orders(keys: DataFrame, products: DataFrame, start: dt.date, days:
         F.when(F.col("_s") == 1, "cancelled").when(F.col("_s") == 2, "pending").otherwise("completed").alias("status"))
 
 
-def numbered_sales(ids: DataFrame, id_col: str, start: dt.date) -> DataFrame:
-    """Sales rows computed from a running number i: code and region by i % 3, amount by i * 10."""
+# Names of the demo rows, picked by i % 3.
+REGIONS = ("東京", "大阪", "名古屋")
+PRODUCT_PREFIX = "製品"
+
+
+def numbered_sales(ids: DataFrame, id_col: str, as_of: dt.date) -> DataFrame:
+    """Sales rows computed from a running number i: code, name and region by i % 3, amounts from i."""
     i = F.col(id_col)
+    third = (i % 3).cast("int")
     return ids.select(
-        i.alias("sales_id"), F.date_add(F.lit(start), (i % 365).cast("int")).alias("sales_date"),
-        F.concat(F.lit("P"), F.lpad((i % 3 + 1).cast("string"), 3, "0")).alias("product_code"),
-        (i % 10 + 1).cast("int").alias("quantity"), (i * 10).cast("decimal(18,2)").alias("unit_price"),
-        (i * 10 * (i % 10 + 1)).cast("decimal(18,2)").alias("total_amount"),
-        F.element_at(F.array(F.lit("East"), F.lit("West"), F.lit("North")), (i % 3 + 1).cast("int")).alias("region"))
+        i.alias("sales_id"), F.date_sub(F.lit(as_of), (i % 36500).cast("int")).alias("sales_date"),
+        F.concat(F.lit("P00"), (third + 1).cast("string")).alias("product_code"),
+        F.concat(F.lit(PRODUCT_PREFIX), F.char(65 + third)).alias("product_name"),
+        (i * 10).alias("quantity"), (i * 100).cast("decimal(18,2)").alias("unit_price"),
+        ((i * 10).cast("decimal(18,0)") * (i * 100).cast("decimal(18,0)")).cast("decimal(38,2)").alias("total_amount"),
+        F.element_at(F.array(*[F.lit(r) for r in REGIONS]), third + 1).alias("region"))

@@ -93,6 +93,51 @@ def topk(corpus: DataFrame, id_col: str, vec_col: str, queries: DataFrame, query
     return cand.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
 
 
+def score_stats(corpus: DataFrame, vec_col: str, queries: DataFrame, query_id: str, query_vec: str,
+                threshold: float, max_queries: int = MAX_QUERIES) -> DataFrame:
+    """Every query against every corpus row, reduced in the tasks to one line per query and batch.
+
+    Returns rows scored, rows at or above the threshold, mean and best score of each query. The
+    scores themselves are never written out. A query set above ``max_queries`` is cut into
+    blocks of at most that many rows, one pass over the corpus per block.
+    """
+    c = corpus.where(F.col(vec_col).isNotNull()).select(F.col(vec_col).alias("vec"))
+    q = queries.where(F.col(query_vec).isNotNull()).select(
+        F.col(query_id).cast("long").alias("query_id"), F.col(query_vec).alias("qvec"))
+    schema = "query_id long, n long, n_above long, total double, best double"
+
+    def scorer(qid: list, qm: np.ndarray):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    flat = b.column("vec").flatten().to_numpy(zero_copy_only=False)
+                    s = np.round(unit_matrix(flat.reshape(b.num_rows, qm.shape[1])) @ qm.T, DIGITS)
+                    yield pa.RecordBatch.from_pydict({
+                        "query_id": pa.array(qid, pa.int64()),
+                        "n": pa.array([len(s)] * len(qid), pa.int64()),
+                        "n_above": pa.array((s >= threshold).sum(axis=0), pa.int64()),
+                        "total": pa.array(s.sum(axis=0)), "best": pa.array(s.max(axis=0))})
+        return run
+
+    parts, last = None, None
+    while True:  # one turn for a normal query set
+        block = q if last is None else q.where(F.col("query_id") > last)
+        rows = block.orderBy("query_id").limit(max_queries).collect()
+        if not rows:
+            break
+        one = c.mapInArrow(scorer([r["query_id"] for r in rows], unit_matrix([r["qvec"] for r in rows])), schema)
+        parts = one if parts is None else parts.unionByName(one)
+        last = rows[-1]["query_id"]
+        if len(rows) < max_queries:
+            break
+    if parts is None:
+        parts = corpus.sparkSession.createDataFrame([], schema)
+    return parts.groupBy("query_id").agg(
+        F.sum("n").alias("n_scored"), F.sum("n_above").alias("n_above"),
+        F.round(F.sum(F.col("total").cast("decimal(28,6)")).cast("double") / F.sum("n"), 4).alias("mean_score"),
+        F.max("best").alias("best_score"))
+
+
 def _blocked(c: DataFrame, q: DataFrame, k: int, threshold: float | None, max_queries: int,
              block_rows: int, schema: str) -> DataFrame:
     """Every query block meets every corpus block once; a block fits one task by construction."""
@@ -118,12 +163,12 @@ def first_pairs(df: DataFrame, id_col: str, cols: list[str], n: int) -> DataFram
 
     The first n pairs only involve the n + 1 smallest ids, so the pairing never sees more rows.
     """
-    few = df.select(id_col, *cols).orderBy(id_col).limit(n + 1)
-    a = few.select(*[F.col(c).alias(f"a_{c}") for c in (id_col, *cols)])
-    b = few.select(*[F.col(c).alias(f"b_{c}") for c in (id_col, *cols)])
-    ids = few.agg(F.sort_array(F.collect_list(id_col))).scalar()
-    a = a.withColumn(f"b_{id_col}", F.explode(F.filter(ids, lambda x: x > F.col(f"a_{id_col}"))))
-    return a.join(b, f"b_{id_col}").orderBy(f"a_{id_col}", f"b_{id_col}").limit(n)
+    few = df.select(id_col, *cols).orderBy(id_col).limit(n + 1).withColumn(
+        "_r", F.row_number().over(W.orderBy(id_col)))
+    a = few.select(*[F.col(c).alias(f"a_{c}") for c in (id_col, *cols)],
+                   F.explode(F.sequence(F.col("_r") + 1, F.lit(n + 2))).alias("_r"))
+    b = few.select("_r", *[F.col(c).alias(f"b_{c}") for c in (id_col, *cols)])
+    return a.join(b, "_r").drop("_r").orderBy(f"a_{id_col}", f"b_{id_col}").limit(n)
 
 
 def pair_quality(df: DataFrame, id_col: str, vec_col: str, group_col: str,
