@@ -6,34 +6,39 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakeloom.functions.text import tokens
 
 
 def embed_hashing(df: DataFrame, key: list[str], text: str, dim: int = 768) -> DataFrame:
-    """Vectors of texts by signed word hashing, as one Arrow pass."""
+    """Vectors of texts by signed word hashing, scaled to length 1.
+
+    Words are cut and hashed inside the JVM; a task only adds up the hashes of an Arrow batch.
+    """
     types = dict(df.dtypes)
     schema = ", ".join(f"{k} {types[k]}" for k in key) + ", vec array<float>, n_tokens int"
+    hashed = df.select(*key, F.coalesce(F.transform(tokens(text), lambda t: F.xxhash64(t)),
+                                        F.array().cast("array<bigint>")).alias("_h"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = np.zeros((len(b), dim), dtype=np.float64)
-            for i, words in enumerate(b["_t"]):
-                if words is None:
-                    continue
-                h = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
-                sign = np.where(h >> np.uint64(63), -1.0, 1.0)
-                np.add.at(out[i], (h % np.uint64(dim)).astype(np.int64), sign)
-            n = np.linalg.norm(out, axis=1, keepdims=True)
-            vec = (out / np.where(n == 0, 1, n)).astype(np.float32)
-            res = b[key].copy()
-            res["vec"] = list(vec)
-            res["n_tokens"] = [0 if t is None else len(t) for t in b["_t"]]
-            yield res
-
-    return df.select(*key, tokens(text).alias("_t")).mapInPandas(run, schema)
+            col = b.column("_h")
+            sizes = col.value_lengths().to_numpy(zero_copy_only=False)
+            h = col.flatten().to_numpy(zero_copy_only=False)
+            slot = np.repeat(np.arange(len(sizes)), sizes) * dim + np.mod(h, dim)
+            sign = np.where((h >> 32) & 1, -1.0, 1.0)
+            m = np.bincount(slot, weights=sign, minlength=len(sizes) * dim).reshape(len(sizes), dim)
+            n = np.linalg.norm(m, axis=1, keepdims=True)
+            m = (m / np.where(n == 0, 1, n)).astype(np.float32)
+            offsets = np.arange(0, (len(sizes) + 1) * dim, dim, dtype=np.int32)
+            vec = pa.ListArray.from_arrays(pa.array(offsets), pa.array(m.ravel()))
+            yield pa.RecordBatch.from_arrays(
+                [*[b.column(k) for k in key], vec, pa.array(sizes.astype(np.int32))], names=[*key, "vec", "n_tokens"])
+
+    return hashed.mapInArrow(run, schema)
 
 
 def embed_with(df: DataFrame, key: list[str], text: str,

@@ -38,3 +38,11 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="lakeloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def cut_lineage(df):
+    """Reliable checkpoint in the shared folder; survives the loss of an executor."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_dir(df.sparkSession, "lineage"))
+    return df.checkpoint()
