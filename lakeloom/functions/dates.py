@@ -49,3 +49,13 @@ def grain_of(col: str | Column, grain: str) -> Column:
     if grain == "day":
         return F.to_date(col)
     return F.trunc(col, grain)
+
+
+def utc_instant(col: str) -> Column:
+    """A zone-less time read as UTC, in any session zone. Watermarks need an instant."""
+    return F.timestamp_micros(F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {col})"))
+
+
+def utc_wall(col: str) -> Column:
+    """Zone-less UTC time of an instant with whole seconds."""
+    return F.expr(f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, unix_seconds({col}))")
