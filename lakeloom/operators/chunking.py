@@ -13,7 +13,7 @@ def chunk_lines(docs: DataFrame, keep: list[str], text: str, min_chars: int = 10
 
     ``chunk_index`` is the 0-based position of the line, so dropped lines leave gaps.
     """
-    out = docs.select(*keep, F.posexplode(lines(text)).alias("chunk_index", "_line"))
+    out = docs.select(*keep, F.posexplode_outer(lines(text)).alias("chunk_index", "_line"))
     out = out.withColumn("chunk_text", F.trim("_line")).drop("_line")
     return out.where(F.length("chunk_text") > min_chars)
 
@@ -25,5 +25,5 @@ def chunk_nonblank(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
 
 def chunk_fixed(docs: DataFrame, keep: list[str], text: str, size: int = 500, overlap: int = 100) -> DataFrame:
     """Character windows that share ``overlap`` characters with their neighbour."""
-    out = docs.select(*keep, F.explode(fixed_windows(text, size, overlap)).alias("_w"))
+    out = docs.select(*keep, F.explode_outer(fixed_windows(text, size, overlap)).alias("_w"))
     return out.select(*keep, F.col("_w.pos").alias("chunk_index"), F.col("_w.chunk_text").alias("chunk_text"))

@@ -53,9 +53,10 @@ def impact_closure(crud: DataFrame, start: DataFrame, depth: int = 3) -> DataFra
     Breadth first, one join pair per level; each level only carries tables not seen before, and
     its lineage is cut.
     """
-    reads = crud.where("crud_r_flag = 1").select("table_name_jp", "ajs_name").distinct()
-    writes = crud.where("crud_c_flag = 1 OR crud_u_flag = 1 OR crud_d_flag = 1").select(
-        "ajs_name", F.col("table_name_jp").alias("target")).distinct()
+    use = cut_lineage(crud.groupBy("table_name_jp", "ajs_name").agg(
+        F.max("crud_r_flag").alias("r"), F.max(F.greatest("crud_c_flag", "crud_u_flag", "crud_d_flag")).alias("w")))
+    reads = use.where("r = 1").select("table_name_jp", "ajs_name")
+    writes = use.where("w = 1").select("ajs_name", F.col("table_name_jp").alias("target"))
     seen = start.select("table_name_jp").distinct().withColumn("depth", F.lit(0))
     frontier = seen
     for level in range(1, depth + 1):

@@ -7,7 +7,6 @@ first shuffle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import tokens
@@ -18,23 +17,29 @@ B = 0.75
 RRF_K = 60
 
 
+DOC_MARK = ""  # stands for the document itself among its words; never a word
+
+
 def query_terms(queries: DataFrame, query_id: str, text: str) -> DataFrame:
     """Distinct words of each query."""
     return queries.select(F.col(query_id).alias("query_id"),
                           F.explode(F.array_distinct(tokens(text))).alias("term"))
 
 
-def term_counts(docs: DataFrame, doc_id: str, text: str, terms: DataFrame) -> DataFrame:
-    """Postings (doc_id, term, tf, doc_len) of the given words."""
-    words = docs.select(F.col(doc_id).alias("doc_id"), tokens(text).alias("_t"))
-    long = words.select("doc_id", F.size("_t").alias("doc_len"), F.explode("_t").alias("term"))
-    return long.join(terms.select("term").distinct(), "term", "left_semi").groupBy("doc_id", "term").agg(
-        F.count(F.lit(1)).alias("tf"), F.first("doc_len").alias("doc_len"))
-
+def query_words(docs: DataFrame, doc_id: str, text: str, terms: DataFrame) -> DataFrame:
+    """Rows (doc_id, doc_len, term) of the words that some query uses, plus one mark per document.
 
-def corpus_stats(docs: DataFrame, text: str) -> DataFrame:
-    """One row: document count and total length. Kept per batch, rows of several batches add up."""
-    return docs.agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.size(tokens(text))).alias("total_len"))
+    The words are cut once. ``explode_outer`` keeps Catalyst from repeating the cut in a filter
+    ahead of the explode. Words no query uses are dropped before the only shuffle, which is by
+    document: the posting counts and the scores of a document are then computed in one place.
+    """
+    marked = F.concat(F.coalesce(tokens(text), F.array().cast("array<string>")), F.array(F.lit(DOC_MARK)))
+    words = docs.select(F.col(doc_id).alias("doc_id"), marked.alias("_t"))
+    long = words.select("doc_id", (F.size("_t") - 1).alias("doc_len"), F.explode_outer("_t").alias("_w"))
+    long = long.select("doc_id", "doc_len", F.coalesce("_w", F.lit(DOC_MARK)).alias("term"))
+    used = terms.select("term").distinct().withColumn("_q", F.lit(True))
+    hit = long.join(used, "term", "left").where(F.col("_q").isNotNull() | (F.col("term") == DOC_MARK))
+    return hit.select("doc_id", "doc_len", "term").repartition("doc_id")
 
 
 def bm25_scores(docs: DataFrame, doc_id: str, text: str, queries: DataFrame, query_id: str,
@@ -43,18 +48,23 @@ def bm25_scores(docs: DataFrame, doc_id: str, text: str, queries: DataFrame, que
 
     score = sum over words of ln(1 + (N - df + 0.5)/(df + 0.5)) * tf * (k1 + 1)
             / (tf + k1 * (1 - b + b * len / avg_len))
+
+    Document frequencies, corpus size and scores all read the same shuffle. Scores are added as
+    whole numbers of 1e-9, so the sum does not depend on the order of the words.
     """
     terms = query_terms(queries, query_id, query_text)
-    tf = term_counts(docs, doc_id, text, terms)
-    stats = corpus_stats(docs, text)
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n = stats.select("n_docs").scalar()
-    avg_len = stats.select(F.col("total_len") / F.col("n_docs")).scalar()
+    words = query_words(docs, doc_id, text, terms)
+    mark = F.col("term") == DOC_MARK
+    # doc_len is named in every reader, so that all of them want the same columns of the shuffle
+    stats = words.agg(F.count(F.when(mark, F.col("doc_len"))).alias("n"), F.sum(F.when(mark, F.col("doc_len"))).alias("total"))
+    n = stats.select("n").scalar()
+    avg_len = stats.select(F.col("total") / F.col("n")).scalar()
+    tf = words.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.max("doc_len").alias("doc_len"))
+    df = tf.groupBy("term").agg(F.count("doc_len").alias("df"))
     q = terms.join(df, "term").withColumn("idf", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)))
     part = F.col("idf") * F.col("tf") * (K1 + 1) / (
         F.col("tf") + K1 * (1 - B + B * F.col("doc_len") / avg_len))
-    # decimal sum: the total does not depend on the order of the words
-    total = F.sum(part.cast("decimal(18,9)")).cast("double")
+    total = F.sum(F.round(part * 1e9).cast("long")) / 1e9
     return tf.join(q, "term").groupBy("query_id", "doc_id").agg(F.round(total, 4).alias("score"))
 
 
@@ -82,36 +92,20 @@ def rrf(ranked: list[tuple[str, DataFrame]], k: int, constant: int = RRF_K) -> D
 
 
 def overlap_top1(questions: DataFrame, question_id: str, text: str, stored: DataFrame, stored_id: str,
-                 stored_text: str, threshold: float, max_inline: int = 1000) -> DataFrame:
+                 stored_text: str, threshold: float) -> DataFrame:
     """Nearest stored question by word overlap (Jaccard), or NULL below the threshold.
 
-    A checked small set of stored questions travels as a literal: one pass, no shuffle. A larger
-    one meets the questions word by word; pairs are counted, not listed.
+    The questions are placed once by id; their words, overlap counts and best match follow in the
+    same task. Pairs only exist inside that task's hash aggregation.
     """
-    from lakeloom.operators.joins import small_rows
-    q = questions.select(F.col(question_id).alias("question_id"), F.array_distinct(tokens(text)).alias("qt"))
+    q = questions.select(F.col(question_id).alias("question_id"), F.array_distinct(tokens(text)).alias("qt")).repartition("question_id")
     s = stored.select(F.col(stored_id).alias("stored_id"), F.array_distinct(tokens(stored_text)).alias("st"))
-    rows = small_rows(s, max_inline)
-    if rows is not None and rows:
-        lit = F.array(*[F.struct(F.lit(r["stored_id"]).alias("id"),
-                                 F.array(*[F.lit(t) for t in r["st"]]).cast("array<string>").alias("t"))
-                        for r in rows])
-
-        def score(x):
-            both = F.size(F.array_intersect(F.col("qt"), x["t"]))
-            return both / F.greatest(F.size("qt") + F.size(x["t"]) - both, F.lit(1))
-
-        cand = F.transform(lit, lambda x: F.struct(F.round(score(x), 6).alias("score"), (-x["id"]).alias("neg")))
-        best = q.select("question_id", F.array_max(cand).alias("b")).select(
-            "question_id", F.col("b.score").alias("score"), (-F.col("b.neg")).alias("stored_id"))
-    else:
-        ql = q.select("question_id", F.size("qt").alias("nq"), F.explode("qt").alias("term"))
-        sl = s.select("stored_id", F.size("st").alias("ns"), F.explode("st").alias("term"))
-        both = ql.join(sl, "term").groupBy("question_id", "stored_id").agg(
-            F.count(F.lit(1)).alias("n"), F.first("nq").alias("nq"), F.first("ns").alias("ns"))
-        scored = both.withColumn("score", F.round(F.col("n") / (F.col("nq") + F.col("ns") - F.col("n")), 6))
-        w = W.partitionBy("question_id").orderBy(F.col("score").desc(), "stored_id")
-        best = scored.withColumn("rn", F.row_number().over(w)).where("rn = 1").select(
-            "question_id", "score", "stored_id")
-        best = q.select("question_id").join(best, "question_id", "left").fillna({"score": 0.0})
-    return best.withColumn("stored_id", F.when(F.col("score") >= threshold, F.col("stored_id")))
+    sl = s.select("stored_id", F.size("st").alias("ns"), F.explode("st").alias("term"))
+    ql = q.select("question_id", F.size("qt").alias("nq"), F.explode_outer("qt").alias("term"))
+    both = ql.join(sl, "term", "left").groupBy("question_id", "stored_id").agg(
+        F.count("stored_id").alias("n"), F.max("nq").alias("nq"), F.max("ns").alias("ns"))
+    score = F.coalesce(F.round(F.col("n") / (F.col("nq") + F.col("ns") - F.col("n")), 6), F.lit(0.0))
+    best = both.select("question_id", "stored_id", score.alias("score")).groupBy("question_id").agg(
+        F.max(F.struct("score", (-F.col("stored_id")).alias("neg"))).alias("b"))
+    return best.select("question_id", F.col("b.score").alias("score"),
+                       F.when(F.col("b.score") >= threshold, -F.col("b.neg")).alias("stored_id"))

@@ -123,7 +123,7 @@ def resolve_terms(texts: DataFrame, text_col: str, key: str, synonyms: DataFrame
 
     ``synonyms`` has one-word terms and their target.
     """
-    words = texts.select(key, F.explode(F.array_distinct(tokens(text_col))).alias("term"))
+    words = texts.select(key, F.explode_outer(F.array_distinct(tokens(text_col))).alias("term"))
     return words.join(synonyms, "term").select(key, "term", "target")
 
 

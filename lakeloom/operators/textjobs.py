@@ -38,8 +38,9 @@ def sentences(col: str | Column) -> Column:
 
 def summarize(docs: DataFrame, doc_id: str, text: str, n: int = 2) -> DataFrame:
     """The n sentences with the highest mean word frequency, in text order."""
-    s = docs.select(doc_id, F.posexplode(sentences(text)).alias("pos", "s"))
-    words = s.select(doc_id, "pos", F.explode(tokens("s")).alias("term"))
+    placed = docs.select(doc_id, text).repartition(doc_id)  # all steps below stay in this placement
+    s = placed.select(doc_id, F.posexplode_outer(sentences(text)).alias("pos", "s"))
+    words = s.select(doc_id, "pos", F.explode_outer(tokens("s")).alias("term")).where("term IS NOT NULL")
     per = words.groupBy(doc_id, "pos", "term").agg(F.count(F.lit(1)).alias("n"))
     freq = per.groupBy(doc_id, "term").agg(F.sum("n").alias("tf"), F.collect_list(F.struct("pos", "n")).alias("at"))
     back = freq.select(doc_id, "tf", F.inline("at"))
@@ -47,7 +48,7 @@ def summarize(docs: DataFrame, doc_id: str, text: str, n: int = 2) -> DataFrame:
         F.round(F.sum(F.col("n") * F.col("tf")) / F.sum("n"), 6).alias("score"))
     best = top_per_group(scored, [doc_id], [F.col("score").desc(), F.col("pos")], n)
     picks = best.groupBy(doc_id).agg(F.sort_array(F.collect_list("pos")).alias("pos"))
-    all_s = docs.select(doc_id, sentences(text).alias("_all"))
+    all_s = placed.select(doc_id, sentences(text).alias("_all"))
     return all_s.join(picks, doc_id).select(doc_id, F.array_join(
         F.transform("pos", lambda p: F.trim(F.get(F.col("_all"), p))), " / ").alias("summary"))
 

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.sources.tables import Tables
+from lakeloom.sources.tables import Tables, spread
 
 AS_OF = dt.date(2001, 7, 15)          # business date of the sales questions
 EVENTS_AS_OF = dt.datetime(2024, 1, 30)  # business time of the log questions
@@ -34,6 +34,11 @@ class Frames(Tables):
     as_of = AS_OF
     events_as_of = EVENTS_AS_OF
 
+    @property
+    def texts(self) -> DataFrame:
+        """Documents for word-level work."""
+        return spread(self.documents)
+
     def sales(self, *dims: str) -> DataFrame:
         """Order lines. ``dims`` picks the joins: ``product``, ``customer``, ``geo``."""
         o = self.orders.select(

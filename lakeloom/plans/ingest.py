@@ -249,7 +249,7 @@ SELECT 'with_null' AS target, count(*) AS n FROM documents WHERE doc_id NOT IN (
   SELECT CASE WHEN quality = 1 THEN doc_id END FROM labels)
 UNION ALL SELECT 'without_null', count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
 def _not_in(f):
-    docs = f.documents.select("doc_id")
+    docs = f.texts.select("doc_id")
     nulls = f.labels.select(F.when(F.col("quality") == 1, F.col("doc_id")).alias("doc_id"))
     out = []
     for name, target in (("with_null", nulls), ("without_null", f.labels.select("doc_id"))):

@@ -14,7 +14,7 @@ from lakeloom.sources.tables import register_views
 @query("rag_search")
 def _rag(f):
     """Every benchmark question against the hashed vectors of whole documents."""
-    docs = f.documents.select(F.col("doc_id").alias("chunk_no"), F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("doc_name"),
+    docs = f.texts.select(F.col("doc_id").alias("chunk_no"), F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("doc_name"),
                               F.col("text").alias("chunk_text"))
     vec = api.default_encoder(docs, ["chunk_no", "doc_name", "chunk_text"], "chunk_text")
     q = f.benchmark.select(F.col("item_id").alias("question_id"), F.col("text").alias("question"))
@@ -23,7 +23,7 @@ def _rag(f):
 
 @query("search_with_sources")
 def _search(f):
-    docs = f.documents.select("doc_id", F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("doc_name"),
+    docs = f.texts.select("doc_id", F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("doc_name"),
                               F.col("source").alias("department"), "text")
     q = f.benchmark.select(F.col("item_id").alias("question_id"), F.col("text").alias("question"))
     return api.search_with_sources(docs, q, "src3", 3)

@@ -50,7 +50,7 @@ ON d.text LIKE '%' || replace(replace(b.text, '%', ''), '_', '') || '%'""")
 def _like_join(f):
     pats = f.benchmark.select("item_id", F.translate("text", "%_", "").alias("pattern")) \
         .groupBy("pattern").agg(F.collect_set("item_id").alias("ids"))
-    hits = joins.contains_join(f.documents.select("doc_id", "text"), "text", pats, "pattern")
+    hits = joins.contains_join(f.texts.select("doc_id", "text"), "text", pats, "pattern")
     return hits.select("doc_id", F.explode("ids").alias("item_id"))
 
 

@@ -58,7 +58,7 @@ def _chunk_nonblank(f):
 @query("chunk_fixed", """SELECT doc_id, CAST(i AS INT) AS chunk_index, substr(text, CAST(i * 400 + 1 AS BIGINT), 500) AS chunk_text FROM (
 SELECT doc_id, text, unnest(range(0, CAST(greatest(ceil((length(text) - 100) / 400.0::DOUBLE), 1) AS BIGINT))) AS i FROM documents)""")
 def _chunk_fixed(f):
-    return chunking.chunk_fixed(f.documents, ["doc_id"], "text", 500, 100)
+    return chunking.chunk_fixed(f.texts, ["doc_id"], "text", 500, 100)
 
 
 @query("chunk_profile", f"""SELECT doc_id, count(*) AS chunks, min(chunk_index) AS first_index, max(length(chunk_text)) AS longest,
@@ -75,7 +75,7 @@ def _chunk_profile(f):
 
 @query("embed_hashing")
 def _embed(f):
-    return embed_hashing(f.documents, ["doc_id"], "text", 256)
+    return embed_hashing(f.texts, ["doc_id"], "text", 256)
 
 
 @query("embedding_status", """SELECT d.lang, CASE WHEN e.embedding IS NULL THEN 'NULL' ELSE 'OK' END AS status, count(*) AS n
@@ -150,7 +150,7 @@ def _encoders(f):
     q = f.benchmark.select("item_id", "text")
     lists = []
     for dim in (768, 1024):
-        hits = vectors.topk(embed_hashing(f.documents, ["doc_id"], "text", dim), "doc_id", "vec",
+        hits = vectors.topk(embed_hashing(f.texts, ["doc_id"], "text", dim), "doc_id", "vec",
                             embed_hashing(q, ["item_id"], "text", dim), "item_id", "vec", 10)
         lists.append(hits.select("query_id", "item_id"))
     both = lists[0].join(lists[1], ["query_id", "item_id"]).groupBy("query_id").agg(F.count(F.lit(1)).alias("shared"))
@@ -167,7 +167,7 @@ BM = bm25_sql(DOCS, "doc_id", "text", QUESTIONS, "item_id", "text")
 
 @query("bm25_search", f"WITH {BM} SELECT query_id, doc_id, score, rn FROM {ranked_sql('bm', 3)}")
 def _bm25(f):
-    return keyword.bm25_topk(f.documents, "doc_id", "text", f.benchmark, "item_id", "text", 3)
+    return keyword.bm25_topk(f.texts, "doc_id", "text", f.benchmark, "item_id", "text", 3)
 
 
 def title_queries(f):
@@ -192,7 +192,7 @@ SELECT query_id, doc_id, dense_score, sparse_score, final_score, rn FROM {ranked
 def _hybrid(f):
     q = title_queries(f)
     dense = vectors.topk(f.embeddings, "vec_id", "embedding", q, "query_id", "query_vec", 20)
-    sparse = keyword.bm25_topk(f.documents, "doc_id", "text", q, "query_id", "query", 20).withColumnRenamed("doc_id", "item_id")
+    sparse = keyword.bm25_topk(f.texts, "doc_id", "text", q, "query_id", "query", 20).withColumnRenamed("doc_id", "item_id")
     return keyword.rrf([("dense", dense), ("sparse", sparse)], 5).withColumnRenamed("item_id", "doc_id")
 
 
@@ -203,7 +203,7 @@ SELECT query_id, doc_id, keyword_score, score, rn FROM {ranked_sql('''(SELECT c.
 def _rerank(f):
     """Keyword search finds twenty candidates per query, the exact vector score orders them."""
     q = title_queries(f)
-    cand = keyword.bm25_topk(f.documents, "doc_id", "text", q, "query_id", "query", 20)
+    cand = keyword.bm25_topk(f.texts, "doc_id", "text", q, "query_id", "query", 20)
     v = f.embeddings.select(F.col("vec_id").alias("doc_id"), "embedding")
     scored = cand.join(v, "doc_id").join(q.select("query_id", "query_vec"), "query_id").select(
         "query_id", "doc_id", F.col("score").alias("keyword_score"), F.round(cosine("embedding", "query_vec"), 6).alias("score"))
@@ -232,7 +232,7 @@ FILTERS = {
 
 def search(f, request_filter=None, k: int = 3, columns=("doc_id", "lang", "source")):
     """Keyword search for every benchmark question; the filter applies before scoring."""
-    docs = f.documents.where(retrieval.filter_column(request_filter))
+    docs = f.texts.where(retrieval.filter_column(request_filter))
     hits = keyword.bm25_topk(docs, "doc_id", "text", f.benchmark, "item_id", "text", k)
     return hits.join(docs.select(*columns), "doc_id")
 
@@ -250,7 +250,7 @@ def _results(f):
 
 @query("search_batch", f"WITH {BM} SELECT query_id, b.text AS question, doc_id, score, rn FROM {ranked_sql('bm', 5)} r JOIN benchmark b ON r.query_id = b.item_id")
 def _batch(f):
-    hits = keyword.bm25_topk(f.documents, "doc_id", "text", f.benchmark, "item_id", "text", 5)
+    hits = keyword.bm25_topk(f.texts, "doc_id", "text", f.benchmark, "item_id", "text", 5)
     return hits.join(f.benchmark.select(F.col("item_id").alias("query_id"), F.col("text").alias("question")), "query_id").select(
         "query_id", "question", "doc_id", "score", "rn")
 

@@ -23,7 +23,7 @@ SELECT d.doc_id, coalesce(hits, 0) AS hits, round(coalesce(s / hits, 0.0), 4) AS
 ELSE 'neutral' END AS label FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id""")
 def _sentiment(f):
     lex = values_relation(f.spark, ["term", "weight"], [(t, F.lit(w).cast("decimal(6,2)")) for t, w in LEXICON])
-    return textjobs.sentiment(f.documents, "doc_id", "text", lex)
+    return textjobs.sentiment(f.texts, "doc_id", "text", lex)
 
 
 SENTENCES = r"""sen AS (SELECT doc_id, generate_subscripts(string_split_regex(text, '[.!?]+\s+|\n+'), 1) - 1 AS pos,
@@ -37,7 +37,7 @@ sc AS (SELECT doc_id, pos, round(CAST(sum(tf) AS DOUBLE) / count(*), 6) AS score
 best AS (SELECT doc_id, pos FROM sc QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) <= 2)
 SELECT doc_id, string_agg(trim(s), ' / ' ORDER BY pos) AS summary FROM best JOIN sen USING (doc_id, pos) GROUP BY 1""")
 def _summarize(f):
-    return textjobs.summarize(f.documents, "doc_id", "text", 2)
+    return textjobs.summarize(f.texts, "doc_id", "text", 2)
 
 
 @query("extract_answer", f"""WITH {BM}, top1 AS (SELECT query_id, doc_id FROM {ranked_sql('bm', 1)}), {SENTENCES},
@@ -45,7 +45,7 @@ x AS (SELECT t.query_id, pos, trim(s) AS answer, len(list_intersect(list_distinc
 FROM top1 t JOIN benchmark b ON t.query_id = b.item_id JOIN sen USING (doc_id))
 SELECT query_id, CAST(overlap AS BIGINT) AS overlap, answer FROM x QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY overlap DESC, pos) = 1""")
 def _extract(f):
-    hits = keyword.bm25_topk(f.documents, "doc_id", "text", f.benchmark, "item_id", "text", 1)
+    hits = keyword.bm25_topk(f.texts, "doc_id", "text", f.benchmark, "item_id", "text", 1)
     pairs = hits.join(f.documents.select("doc_id", F.col("text").alias("context")), "doc_id").join(
         f.benchmark.select(F.col("item_id").alias("query_id"), F.col("text").alias("question")), "query_id")
     return textjobs.extract_answer(pairs, "query_id", "question", "context")

@@ -33,6 +33,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a scan with fewer partitions than cores (one big row group, say).
+
+    For row-wise work that costs more than moving the row, such as cutting long texts into words.
+    Only for plain scans; a scan of a large table has partitions enough and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def register_views(spark: SparkSession, folder: str, names: list[str] | None = None) -> None:
     for name in names or SCHEMAS:
         read_table(spark, folder, name).createOrReplaceTempView(name)
