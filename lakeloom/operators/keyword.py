@@ -35,7 +35,9 @@ def query_words(docs: DataFrame, doc_id: str, text: str, terms: DataFrame) -> Da
     """
     marked = F.concat(F.coalesce(tokens(text), F.array().cast("array<string>")), F.array(F.lit(DOC_MARK)))
     words = docs.select(F.col(doc_id).alias("doc_id"), marked.alias("_t"))
-    long = words.select("doc_id", (F.size("_t") - 1).alias("doc_len"), F.explode_outer("_t").alias("_w"))
+    # the length is a column before the explode, so that exploded rows do not carry the array
+    words = words.withColumn("doc_len", F.size("_t") - 1)
+    long = words.select("doc_id", "doc_len", F.explode_outer("_t").alias("_w"))
     long = long.select("doc_id", "doc_len", F.coalesce("_w", F.lit(DOC_MARK)).alias("term"))
     used = terms.select("term").distinct().withColumn("_q", F.lit(True))
     hit = long.join(used, "term", "left").where(F.col("_q").isNotNull() | (F.col("term") == DOC_MARK))
@@ -64,8 +66,9 @@ def bm25_scores(docs: DataFrame, doc_id: str, text: str, queries: DataFrame, que
     q = terms.join(df, "term").withColumn("idf", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)))
     part = F.col("idf") * F.col("tf") * (K1 + 1) / (
         F.col("tf") + K1 * (1 - B + B * F.col("doc_len") / avg_len))
-    total = F.sum(F.round(part * 1e9).cast("long")) / 1e9
-    return tf.join(q, "term").groupBy("query_id", "doc_id").agg(F.round(total, 4).alias("score"))
+    s = F.sum(F.floor(part * 1e9 + 0.5))
+    score = F.floor((s + 50_000) / 100_000) / 1e4  # to four digits, in whole numbers
+    return tf.join(q, "term").groupBy("query_id", "doc_id").agg(score.alias("score"))
 
 
 def bm25_topk(docs: DataFrame, doc_id: str, text: str, queries: DataFrame, query_id: str,
@@ -98,10 +101,11 @@ def overlap_top1(questions: DataFrame, question_id: str, text: str, stored: Data
     The questions are placed once by id; their words, overlap counts and best match follow in the
     same task. Pairs only exist inside that task's hash aggregation.
     """
-    q = questions.select(F.col(question_id).alias("question_id"), F.array_distinct(tokens(text)).alias("qt")).repartition("question_id")
+    q = questions.select(F.col(question_id).alias("question_id"), F.array_distinct(tokens(text)).alias("qt")).withColumn(
+        "nq", F.size("qt")).repartition("question_id")
     s = stored.select(F.col(stored_id).alias("stored_id"), F.array_distinct(tokens(stored_text)).alias("st"))
-    sl = s.select("stored_id", F.size("st").alias("ns"), F.explode("st").alias("term"))
-    ql = q.select("question_id", F.size("qt").alias("nq"), F.explode_outer("qt").alias("term"))
+    sl = s.withColumn("ns", F.size("st")).select("stored_id", "ns", F.explode_outer("st").alias("term"))
+    ql = q.select("question_id", "nq", F.explode_outer("qt").alias("term"))
     both = ql.join(sl, "term", "left").groupBy("question_id", "stored_id").agg(
         F.count("stored_id").alias("n"), F.max("nq").alias("nq"), F.max("ns").alias("ns"))
     score = F.coalesce(F.round(F.col("n") / (F.col("nq") + F.col("ns") - F.col("n")), 6), F.lit(0.0))

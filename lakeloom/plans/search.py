@@ -13,6 +13,7 @@ from lakeloom.operators.encoders import embed_hashing
 from lakeloom.operators.joins import contains_join, insert_missing
 from lakeloom.operators.topk import top, top_per_group
 from lakeloom.plans.registry import query
+from lakeloom.session import cut_lineage
 
 WORDS = r"list_filter(string_split_regex(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
 
@@ -173,7 +174,7 @@ def _bm25(f):
 def title_queries(f):
     """Query vectors with a text: the first line of the query's document."""
     d = f.documents.select(F.col("doc_id").alias("query_id"), F.expr(r"split_part(text, '\n', 1)").alias("query"))
-    return f.query_vectors().join(d, "query_id")
+    return cut_lineage(f.query_vectors().join(d, "query_id"))  # a handful of rows, read by several branches
 
 
 TITLES = "SELECT query_id, split_part(text, chr(10), 1) AS query FROM query_vectors JOIN documents ON query_id = doc_id"
