@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeloom.functions.numbers import pct
@@ -18,15 +19,33 @@ def with_share(grouped: DataFrame, value: str, name: str, digits: int = 1) -> Da
     return grouped.withColumn(name, pct(F.col(value), total, digits))
 
 
-def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float, name: str) -> DataFrame:
-    """Exact interpolated percentile per group.
+def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float, name: str,
+                     margin: float = 0.001) -> DataFrame:
+    """Exact interpolated percentile per group, without sorting a whole group in one task.
 
-    Equal values are counted first (shuffled by group and value, so a hot group is spread), and
-    the percentile then works on distinct values with their frequency.
+    A mergeable sketch brackets the rank (its error is a tenth of ``margin``); values below the
+    bracket are only counted, and only the distinct values inside it, about ``2 * margin`` of the
+    group, are put in order.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.groupBy(*keys).agg(
-        F.percentile(F.col(value).cast("double"), p, F.col("_n")).alias(name))
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    sketch = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", [max(p - margin, 0.0), min(p + margin, 1.0)], int(10 / margin)).alias("_ab"))
+    lo = F.when(F.lit(p - margin <= 0), F.col("_min")).otherwise(F.get("_ab", F.lit(0)))
+    hi = F.when(F.lit(p + margin >= 1), F.col("_max")).otherwise(F.get("_ab", F.lit(1)))
+    sketch = sketch.select(*keys, (p * (F.col("_n") - 1)).alias("_pos"), lo.alias("_a"), hi.alias("_b"))
+    counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    joined = counts.join(sketch, keys) if keys else counts.join(F.broadcast(sketch), F.lit(True))
+    # the values below become one row per group, ordered first, and carry their count only
+    inside = F.when(F.col("_v") < F.col("_a"), F.lit(None)).otherwise(F.col("_v"))
+    band = joined.where(F.col("_v") <= F.col("_b")).groupBy(*keys, "_pos", inside.alias("_v")).agg(F.sum("_c").alias("_c"))
+    w = W.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)
+    ranked = band.withColumn("_end", F.sum("_c").over(w))
+    low, high = F.floor("_pos"), F.ceil("_pos")
+    at = ranked.groupBy(*keys, "_pos").agg(
+        F.min(F.when(F.col("_end") > low, F.struct("_end", "_v")))["_v"].alias("_lo"),
+        F.min(F.when(F.col("_end") > high, F.struct("_end", "_v")))["_v"].alias("_hi"))
+    return at.select(*keys, (F.col("_lo") + (F.col("_pos") - low) * (F.col("_hi") - F.col("_lo"))).alias(name))
 
 
 def value_distribution(df: DataFrame, col: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.dates import grain_of
 from lakeloom.functions.text import tokens
+from lakeloom.sources.inline import values_relation
 
 AGGREGATIONS = ("sum", "avg", "count", "min", "max", "count_distinct")
 
@@ -128,25 +129,26 @@ def resolve_terms(texts: DataFrame, text_col: str, key: str, synonyms: DataFrame
 
 
 def infer_model(df: DataFrame, name: str, max_values: int = 20) -> DataFrame:
-    """Draft of a model from a table: role of every column and its sample values.
+    """Draft of a model from a table: role, approximate distinct count and sample values per column.
 
-    One pass: distinct counts and at most ``max_values`` smallest values kept per column.
+    Two scans: sketches for all columns first, then the values of the columns that turned out to
+    have at most ``max_values`` of them.
     """
-    aggs = []
-    for c, _ in df.dtypes:
-        aggs.append(F.approx_count_distinct(c).alias(f"{c}__n"))
-    stats = df.agg(*aggs)
+    stats = df.agg(*[F.approx_count_distinct(c).alias(c) for c, _ in df.dtypes]).first()
+    few = [c for c, t in df.dtypes if t == "string" and stats[c] <= max_values]
+    values = df.agg(*[F.slice(F.sort_array(F.collect_set(c)), 1, max_values).alias(c) for c in few]).first() if few else {}
     rows = []
     for c, t in df.dtypes:
-        numeric = t.startswith(("int", "bigint", "double", "float", "decimal", "smallint"))
-        keyish = c.endswith(("key", "_id"))
-        rows.append(
-            f"'{c}', '{t}', CASE WHEN {str(keyish).lower()} THEN 'key' "
-            f"WHEN {str(t.startswith(('date', 'timestamp'))).lower()} THEN 'time_dimension' "
-            f"WHEN {str(numeric).lower()} THEN 'measure' "
-            f"WHEN {c}__n <= {max_values} THEN 'dimension_with_values' ELSE 'dimension' END, {c}__n")
-    return stats.select(F.lit(name).alias("table_name"), F.expr(
-        f"stack({len(rows)}, {', '.join(rows)}) as (column_name, data_type, role, approx_distinct)"))
+        if c.endswith(("key", "_id")):
+            role = "key"
+        elif t.startswith(("date", "timestamp")):
+            role = "time_dimension"
+        elif t.startswith(("int", "bigint", "double", "float", "decimal", "smallint")):
+            role = "measure"
+        else:
+            role = "dimension"
+        rows.append((name, c, t, role, stats[c], ", ".join(values[c]) if c in few else None))
+    return values_relation(df.sparkSession, ["table_name", "column_name", "data_type", "role", "approx_distinct", "sample_values"], rows)
 
 
 def infer_relationships(tables: dict[str, DataFrame]) -> list[tuple[str, str, str]]:

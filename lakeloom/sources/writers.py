@@ -28,10 +28,10 @@ def truncate_and_load(df: DataFrame, path: str) -> None:
 def export_parquet(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Archive in object storage, one folder per partition value.
 
-    Rows meet by partition value plus the usual hash split, so a hot value is written by many
-    tasks and no task keeps all values open.
+    The rebalance hint brings the rows of a value together, so that files are few and large, and
+    lets AQE split a value that holds many rows over several tasks.
     """
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 class VersionedTable:
