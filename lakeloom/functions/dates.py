@@ -34,10 +34,15 @@ def in_month_or_year_ago(col: str | Column, as_of: dt.date) -> Column:
     return in_month(col, as_of) | in_month(col, as_of, -12)
 
 
+def wall_time(t: dt.date) -> Column:
+    """Zone-less literal of a date or time; no zone of the driver or session takes part."""
+    return F.lit(t.isoformat(" ") if isinstance(t, dt.datetime) else t.isoformat()).cast("timestamp_ntz")
+
+
 def recent(col: str | Column, as_of: dt.datetime, **delta: float) -> Column:
     """col >= as_of - delta, e.g. ``recent("ts", now, minutes=5)``."""
     c = F.col(col) if isinstance(col, str) else col
-    return c >= F.lit(as_of - dt.timedelta(**delta)).cast("timestamp_ntz")
+    return c >= wall_time(as_of - dt.timedelta(**delta))
 
 
 def month_of(col: str | Column) -> Column:

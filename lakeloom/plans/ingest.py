@@ -11,6 +11,7 @@ from xml.sax.saxutils import escape
 import pandas as pd
 from pyspark.sql import functions as F
 
+from lakeloom.functions.dates import wall_time
 from lakeloom.functions.text import nonblank_line_count
 from lakeloom.operators import dml
 from lakeloom.operators.joins import insert_missing, not_in
@@ -22,7 +23,7 @@ from lakeloom.sources.inline import values_relation
 
 @query("scan_table", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderdate >= DATE '2001-01-01'")
 def _scan(f):
-    return f.orders.where(F.col("o_orderdate") >= F.lit(dt.datetime(2001, 1, 1)).cast("timestamp_ntz")).select(
+    return f.orders.where(F.col("o_orderdate") >= wall_time(dt.date(2001, 1, 1))).select(
         "o_orderkey", "o_custkey", "o_orderstatus")
 
 
@@ -206,7 +207,7 @@ FROM src""", "src")
 def _fill_missing(f):
     prompt = F.concat(F.lit("Summary of "), "file_name", F.lit(": "), F.left("source_code", F.lit(8000)))
     out = dml.fill_missing(f.src(), "ai_summary", prompt, F.length("source_code") > 0, "update_at",
-                           F.lit(f.events_as_of).cast("timestamp_ntz"))
+                           wall_time(f.events_as_of))
     return out.select("source_id", "ai_summary", "update_at")
 
 

@@ -101,7 +101,7 @@ UNION ALL SELECT 'this_month', count(*) FROM events WHERE ts >= TIMESTAMP '2024-
 def _recent(f):
     now = f.events_as_of
     spans = {"last_5_min": dates.recent("ts", now, minutes=5), "last_7_days": dates.recent("ts", now, days=7),
-             "this_month": F.col("ts") >= F.lit(dates.month_start(now.date())).cast("timestamp_ntz")}
+             "this_month": F.col("ts") >= dates.wall_time(dates.month_start(now.date()))}
     wide = f.events.where(spans["this_month"]).agg(*[count_if(c).alias(n) for n, c in spans.items()])
     return wide.select(F.expr("stack(3, " + ", ".join(f"'{n}', {n}" for n in spans) + ") as (span, n)"))
 
