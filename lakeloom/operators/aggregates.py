@@ -25,14 +25,16 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float, name:
 
     A mergeable sketch brackets the rank (its error is a tenth of ``margin``); values below the
     bracket are only counted, and only the distinct values inside it, about ``2 * margin`` of the
-    group, are put in order.
+    group, are put in order. A group of at most ``10 / margin`` rows is taken whole, because there
+    the neighbour of the rank could lie outside the bracket.
     """
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     sketch = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
         F.percentile_approx("_v", [max(p - margin, 0.0), min(p + margin, 1.0)], int(10 / margin)).alias("_ab"))
-    lo = F.when(F.lit(p - margin <= 0), F.col("_min")).otherwise(F.get("_ab", F.lit(0)))
-    hi = F.when(F.lit(p + margin >= 1), F.col("_max")).otherwise(F.get("_ab", F.lit(1)))
+    small = F.col("_n") <= int(10 / margin)
+    lo = F.when(F.lit(p - margin <= 0) | small, F.col("_min")).otherwise(F.get("_ab", F.lit(0)))
+    hi = F.when(F.lit(p + margin >= 1) | small, F.col("_max")).otherwise(F.get("_ab", F.lit(1)))
     sketch = sketch.select(*keys, (p * (F.col("_n") - 1)).alias("_pos"), lo.alias("_a"), hi.alias("_b"))
     counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     joined = counts.join(sketch, keys) if keys else counts.join(F.broadcast(sketch), F.lit(True))

@@ -199,9 +199,10 @@ def test_result_diff_counts_copies(rows):
 
 
 @pytest.mark.parametrize("p", [0.0, 0.5, 0.95, 1.0])
-def test_percentile_is_exact(spark, p):
+@pytest.mark.parametrize("n", [3, 20, 261, 3001, 90000])
+def test_percentile_is_exact(spark, p, n):
     import numpy as np
-    df = spark.range(30000).select((F.col("id") % 3).alias("g"), F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(
+    df = spark.range(n).select((F.col("id") % 3).alias("g"), F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(
         F.pmod(F.hash("id"), F.lit(100003)) / 7.0).alias("v"))
     out = {r["g"]: r["p"] for r in aggregates.exact_percentile(df, ["g"], "v", p, "p").collect()}
     data = df.toPandas()
