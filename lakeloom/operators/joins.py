@@ -88,12 +88,12 @@ def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_
                   max_inline: int = 500, max_gram: int = 16) -> DataFrame:
     """Pairs where the text contains the pattern: ``text LIKE '%' || pattern || '%'``.
 
-    Few patterns (checked) are tested in one pass over the texts without a join. Otherwise texts
-    and patterns meet on a shared n-gram, an equi join, and each meeting is verified.
-    ``patterns`` must not repeat a pattern.
+    Few distinct patterns (checked) are tested in one pass over the texts, and the hits are joined
+    back to the pattern rows. Otherwise texts and patterns meet on a shared n-gram, an equi join,
+    and each meeting is verified. A pattern may occur in any number of rows.
     """
     pats = patterns.where(F.col(pattern_col) != "")
-    rows = small_rows(pats.select(pattern_col), max_inline)
+    rows = small_rows(pats.select(pattern_col).distinct(), max_inline)
     if rows is not None:
         if not rows:
             return texts.join(pats, F.lit(False))
@@ -101,6 +101,7 @@ def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_
         hits = texts.withColumn("_hit", F.explode(
             F.filter(lit, lambda p: F.contains(F.col(text_col), p))))
         return hits.join(pats, F.col("_hit") == F.col(pattern_col)).drop("_hit")
+    # the gram length is that of the shortest pattern, so every pattern has a first gram
     q = min(max_gram, pats.agg(F.min(F.length(pattern_col))).first()[0])
     grams = F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.greatest(F.length(text_col) - (q - 1), F.lit(1))),

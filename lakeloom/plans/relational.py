@@ -48,10 +48,9 @@ def _like(f):
 @query("like_join", """SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b
 ON d.text LIKE '%' || replace(replace(b.text, '%', ''), '_', '') || '%'""")
 def _like_join(f):
-    pats = f.benchmark.select("item_id", F.translate("text", "%_", "").alias("pattern")) \
-        .groupBy("pattern").agg(F.collect_set("item_id").alias("ids"))
+    pats = f.benchmark.select("item_id", F.translate("text", "%_", "").alias("pattern"))
     hits = joins.contains_join(f.texts.select("doc_id", "text"), "text", pats, "pattern")
-    return hits.select("doc_id", F.explode("ids").alias("item_id"))
+    return hits.select("doc_id", "item_id")
 
 
 @query("filter_null", "SELECT source_id, module_name FROM src WHERE ai_summary IS NULL AND module_name IS NOT NULL", "src")

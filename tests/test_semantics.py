@@ -94,6 +94,14 @@ def test_not_in_null_rules(rows):
     assert joins.insert_missing(src, rows("k int", (1,), (None,)), "k").count() == 2
 
 
+@pytest.mark.parametrize("inline", [500, 0])
+def test_contains_join_keeps_copies_of_texts_and_patterns(rows, inline):
+    texts = rows("i int, t string", *[(i, "the red ring") for i in range(30)], (99, "blue"))
+    pats = rows("j int, p string", *[(j, "red") for j in range(20)], (50, "blue"), (51, ""))
+    out = joins.contains_join(texts, "t", pats, "p", inline)
+    assert got(out, "i", "j") == sorted([(i, j) for i in range(30) for j in range(20)] + [(99, 50)])
+
+
 @pytest.mark.parametrize("inline", [500, 0])
 def test_contains_join_paths_agree_with_brute_force(rows, inline):
     texts = ["red ring on a plate", "a red r", "ringring", "", "plate", "xxred ringyy red ring"]
