@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+GRAM_SIZES = (2, 4, 8, 16)
 MAX_INLINE_ROWS = 10_000  # rows that may be turned into a literal of the plan
 
 
@@ -84,8 +85,14 @@ def insert_missing(src: DataFrame, target: DataFrame, keys: str | list[str]) ->
     return src.join(target, keys, "left_anti")
 
 
+def grams(text: str, q: int) -> Column:
+    """Distinct substrings of q characters."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (q - 1), F.lit(1)))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(text), i, F.lit(q))))
+
+
 def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_col: str,
-                  max_inline: int = 500, max_gram: int = 16) -> DataFrame:
+                  max_inline: int = 500) -> DataFrame:
     """Pairs where the text contains the pattern: ``text LIKE '%' || pattern || '%'``.
 
     Few distinct patterns (checked) are tested in one pass over the texts, and the hits are joined
@@ -101,14 +108,19 @@ def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_
         hits = texts.withColumn("_hit", F.explode(
             F.filter(lit, lambda p: F.contains(F.col(text_col), p))))
         return hits.join(pats, F.col("_hit") == F.col(pattern_col)).drop("_hit")
-    # the gram length is that of the shortest pattern, so every pattern has a first gram
-    q = min(max_gram, pats.agg(F.min(F.length(pattern_col))).first()[0])
-    grams = F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(text_col) - (q - 1), F.lit(1))),
-        lambda i: F.substring(F.col(text_col), i, F.lit(q))))
-    left = texts.withColumn("_gram", F.explode(grams))
-    right = pats.withColumn("_gram", F.left(pattern_col, F.lit(q)))
-    return left.join(right, "_gram").where(F.contains(F.col(text_col), F.col(pattern_col))).drop("_gram")
+    # patterns meet the texts by length class, so that a short pattern does not shorten all grams
+    n = F.length(pattern_col)
+    size = F.lit(1)
+    for q in GRAM_SIZES:
+        size = F.when(n >= q, F.lit(q)).otherwise(size)
+    sized = pats.withColumn("_size", size)
+    out = None
+    for q in sorted(r[0] for r in sized.select("_size").distinct().collect()):  # at most five values
+        left = texts.withColumn("_gram", F.explode_outer(grams(text_col, q)))
+        right = sized.where(F.col("_size") == q).withColumn("_gram", F.left(pattern_col, F.lit(q))).drop("_size")
+        hits = left.join(right, "_gram").where(F.contains(F.col(text_col), F.col(pattern_col))).drop("_gram")
+        out = hits if out is None else out.unionByName(hits)
+    return out
 
 
 def seeded_pick(rows: DataFrame, pool: DataFrame, pool_key: str, seed: int) -> DataFrame:

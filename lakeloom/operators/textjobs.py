@@ -45,7 +45,7 @@ def summarize(docs: DataFrame, doc_id: str, text: str, n: int = 2) -> DataFrame:
     freq = per.groupBy(doc_id, "term").agg(F.sum("n").alias("tf"), F.collect_list(F.struct("pos", "n")).alias("at"))
     back = freq.select(doc_id, "tf", F.inline("at"))
     scored = back.groupBy(doc_id, "pos").agg(
-        F.round(F.sum(F.col("n") * F.col("tf")) / F.sum("n"), 6).alias("score"))
+        F.floor(F.sum(F.col("n") * F.col("tf")) / F.sum("n") * 1e6 + 0.5).alias("score"))
     best = top_per_group(scored, [doc_id], [F.col("score").desc(), F.col("pos")], n)
     picks = best.groupBy(doc_id).agg(F.sort_array(F.collect_list("pos")).alias("pos"))
     all_s = placed.select(doc_id, sentences(text).alias("_all"))
