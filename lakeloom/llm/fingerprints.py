@@ -25,10 +25,13 @@ LOOKUP = 128
 
 def shingle_hashes(text: Column, width: int = SHINGLE) -> Column:
     """Distinct hashes of all runs of ``width`` words; a shorter text is one shingle, no word none."""
-    return let(words(text), lambda w: F.when(F.size(w) == 0, F.array().cast("array<bigint>"))
-               .when(F.size(w) <= width, F.array(F.xxhash64(w)))
-               .otherwise(F.array_distinct(F.transform(
-                   F.sequence(F.lit(1), F.size(w) - (width - 1)), lambda i: F.xxhash64(F.slice(w, i, width))))))
+    def runs(w):
+        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - width, F.lit(0)))
+        # get() and not slice(): slice copies the whole array for every run; a missing word is null and not hashed
+        return F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(width)]))
+
+    return let(words(text), lambda w: F.when(F.size(w) > 0, F.array_distinct(runs(w)))
+               .otherwise(F.array().cast("array<bigint>")))
 
 
 def below(hashes: Column, bits: int = SHARE_BITS) -> Column:
