@@ -103,15 +103,15 @@ def with_next(docs: DataFrame) -> DataFrame:
     each other by text; a null id comes first.
     """
     keyed = texts(docs).withColumn("k", order_key())
-    keyed = keyed.withColumn("slice", _slice_of(_bounds(docs)))
+    keyed = keyed.withColumn("slice", _slice_of(_bounds(docs)))  # at most MOST_BUCKETS values
     heads = keyed.groupBy("slice").agg(F.min("k").alias("k"))
-    first = keyed.select("slice", "k", "text").join(heads.withColumnRenamed("k", "h"), "slice") \
+    first = keyed.select("slice", "k", "text").join(F.broadcast(heads.withColumnRenamed("k", "h")), "slice") \
         .where(F.col("k") == F.col("h")).groupBy("slice").agg(F.min("text").alias("head"))
     order = Window.orderBy("slice")  # a row for each slice
     ring = first.select("slice", F.coalesce(F.lead("head").over(order), F.first("head").over(
         order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("head"))
     ring = with_sketch(ring, "head", "hs")
-    own = with_sketch(keyed, "text", "s")
+    own = with_sketch(keyed.repartition("slice"), "text", "s")  # texts are exchanged, sketches are not
     w = Window.partitionBy("slice").orderBy("k", "text")
     out = own.withColumn("next", F.lead(F.struct("text", "s", "s_full")).over(w)).join(ring, "slice")
     return out.select(
