@@ -8,19 +8,15 @@ the usual down-sampling of such sketches, so a short text never has an empty ske
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.base import documents, let, order_key, query, texts, words
+from lakeloom.llm.order import bounds_of, slice_of
 
 SHINGLE = 5          # words
 SHARE_BITS = 3       # long texts keep the hashes below 2**-3 of the hash space
 KEEP_ALL = 256       # texts of at most so many distinct shingles keep all
-BUCKET_ROWS = 4096   # rows of one slice of the document order
-MOST_BUCKETS = 16384
-LOOKUP = 128
 
 
 def shingle_hashes(text: Column, width: int = SHINGLE) -> Column:
@@ -70,30 +66,6 @@ def overlap(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
              .drop(x, y, f"{name}_i")
 
 
-def _bounds(docs: DataFrame) -> list[int]:
-    """Lower ends of slices of the document order: at most MOST_BUCKETS numbers."""
-    keys = docs.select(order_key().alias("k"))
-    n = keys.count()
-    parts = min(MOST_BUCKETS, -(-n // BUCKET_ROWS))
-    if parts < 2:
-        return []
-    shares = json.dumps([i / parts for i in range(1, parts)])
-    got = keys.select(F.expr(f"percentile_approx(k, from_json('{shares}', 'array<double>'), {20 * parts})")).first()[0]
-    return sorted(set(got))
-
-
-def _slice_of(bounds: list[int]) -> Column:
-    """Number of bounds at or below the key, found in two steps."""
-    if not bounds:
-        return F.lit(0)
-    head, most = bounds[::LOOKUP], len(bounds)
-    fine = F.from_json(F.lit(json.dumps(bounds)), "array<bigint>")
-    coarse = F.from_json(F.lit(json.dumps(head)), "array<bigint>")
-    c = F.size(F.filter(coarse, lambda b: b <= F.col("k")))
-    step = F.greatest(c - 1, F.lit(0)) * LOOKUP
-    return F.least(F.lit(most), step + F.size(F.filter(F.slice(fine, step + 1, LOOKUP), lambda b: b <= F.col("k"))))
-
-
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text, its sketch, and text and sketch of the next document in ascending doc_id (last: the first).
 
@@ -103,7 +75,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     each other by text; a null id comes first.
     """
     keyed = texts(docs).withColumn("k", order_key())
-    keyed = keyed.withColumn("slice", _slice_of(_bounds(docs)))  # at most MOST_BUCKETS values
+    keyed = keyed.withColumn("slice", slice_of(bounds_of(docs)))  # at most MOST_SLICES values
     heads = keyed.groupBy("slice").agg(F.min("k").alias("k"))
     first = keyed.select("slice", "k", "text").join(F.broadcast(heads.withColumnRenamed("k", "h")), "slice") \
         .where(F.col("k") == F.col("h")).groupBy("slice").agg(F.min("text").alias("head"))
