@@ -14,11 +14,11 @@ MOST_SLICES = 16384  # numbers the driver holds
 LOOKUP = 128
 
 
-def bounds_of(docs: DataFrame) -> list[int]:
+def bounds_of(docs: DataFrame, slice_rows: int = SLICE_ROWS) -> list[int]:
     """Lower ends of slices of the document order: at most MOST_SLICES numbers."""
     keys = docs.select(order_key().alias("k"))
     n = keys.count()
-    parts = min(MOST_SLICES, -(-n // SLICE_ROWS))
+    parts = min(MOST_SLICES, -(-n // slice_rows))
     if parts < 2:
         return []
     shares = json.dumps([i / parts for i in range(1, parts)])
