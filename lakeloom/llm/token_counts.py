@@ -17,20 +17,13 @@ from tokenizers import Tokenizer
 
 from lakeloom.llm.arrays import slices
 from lakeloom.llm.base import documents, query, texts
-from lakeloom.llm.tokens import LONGEST_MEMO, MEMO_SIZE, tokenizer_path
+from lakeloom.llm.tokens import LONGEST_MEMO, MEMO_SIZE, byte_letters, tokenizer_path
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 WORD_END = "</w>"
 
 
-def byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in byte-level vocabularies, and back to the byte."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 def proven_words(path: str) -> frozenset[str]:
     """Vocabulary strings that the library encodes alone, as a text of their own, in one token."""
     library, back = Tokenizer.from_file(path), byte_letters()

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 from array import array
 
 import numpy as np
@@ -17,8 +18,9 @@ from tokenizers import Tokenizer
 
 BYTE_BPE = "byte_bpe_50k.json"
 END_ID = 0
-MEMO_SIZE = 450_000   # pieces of each of two generations that a worker remembers
+MEMO_SIZE = 200_000   # pieces of each of two generations that a worker remembers
 LONGEST_MEMO = 64     # characters of a remembered piece
+latin = re.compile("[\0-\u024f]+").fullmatch  # letters in it are letters in every version of Unicode
 UNSAFE = ("  ", " \n", "\n ", "\n\n", "<|")
 
 
@@ -27,6 +29,13 @@ def tokenizer_path(name: str = BYTE_BPE) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in byte-level vocabularies, and back to the byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 class Memo(dict):
     """Piece -> ids. A full memo becomes the old generation, from which used pieces return.
 
@@ -59,6 +68,7 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.memo = Memo()
         self.line = self._library(["\n"])[0]
+        self.letters = {b: c for c, b in byte_letters().items()}
         self.marks = {m: self._library([m])[0] for m in ".,"}
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -78,18 +88,31 @@ class Encoder:
     def _learn(self) -> dict:
         """Learns the missing pieces; gives those that are too long to keep. None: other white space inside."""
         memo, todo = self.memo, list(self.memo.todo)
-        odd = {p for p in todo if (p[1:] if p[:1] == "\n" else p).split() != [p.lstrip("\n")]}
-        marked = {p: p[:-1] for p in todo if p[-1] in ".," and p[-2:-1].isalpha() and p not in odd}
-        heads = [h for h in set(marked.values()) if h not in memo.todo and memo.old.get(h, memo.get(h)) is None]
-        want = [p for p in todo + heads if p not in odd and p not in marked]
-        got = dict.fromkeys(odd)
-        later = [p for p in want if p[0] != "\n"]
+        merge, blank, letters, got, marked, other = self.library.model.tokenize, self.letters[32], self.letters, {}, [], []
+        for p in todo:
+            if p.isalpha() and latin(p):  # one pre-token: the library's merges alone
+                plain = p if p.isascii() else p.encode().decode("latin-1").translate(letters)
+                got[p] = array("I", [t.id for t in merge(blank + plain)]).tobytes()
+            elif p[-1:] in self.marks and p[-2:-1].isalpha() and p[0] != "\n" and latin(p):
+                marked.append(p)
+            else:
+                other.append(p)
+        for p in marked:  # a letter and a full stop or comma never share a pre-token
+            head = p[:-1]
+            ids = got.get(head) or memo.get(head) or memo.old.get(head)
+            if ids is None:
+                if not head.isalpha():
+                    other.append(p)
+                    continue
+                plain = head if head.isascii() else head.encode().decode("latin-1").translate(letters)
+                got[head] = ids = array("I", [t.id for t in merge(blank + plain)]).tobytes()
+            got[p] = ids + self.marks[p[-1]]
+        odd = {p for p in other if (p[1:] if p[:1] == "\n" else p).split() != [p.lstrip("\n")]}
+        got.update(dict.fromkeys(odd))
+        later = [p for p in other if p not in odd and p[0] != "\n"]
         got.update(zip(later, self._pieces([" " + p for p in later])))
-        lines = [p for p in want if p[0] == "\n"]
+        lines = [p for p in other if p not in odd and p[0] == "\n"]
         got.update(zip(lines, [self.line + v for v in self._pieces([p[1:] for p in lines])]))
-        for p, head in marked.items():  # a letter and a full stop or comma never share a pre-token
-            ids = got[head] if head in got else memo[head]
-            got[p] = ids + self.marks[p[-1]]
         memo.todo.clear()
         memo.update({p: v for p, v in got.items() if len(p) <= LONGEST_MEMO})
         return {p: v for p, v in got.items() if len(p) > LONGEST_MEMO}
