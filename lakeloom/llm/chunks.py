@@ -1,7 +1,7 @@
 """Chunks: slices of the corpus that are kept whole, ask questions of all others, and use the answers.
 
-The rows of a slice of the doc_id order are stored once as one Arrow table in a row of a table bucketed
-by slice. A chunk asks with one blob of sorted 64-bit keys for each key range; all blobs of a range
+The rows of a slice of the (doc_id, hash of the text) order are stored once as one Arrow table in a row
+of a table bucketed by slice; slices are the range partitions of about CHUNK_BYTES of text. A chunk asks with one blob of sorted 64-bit keys for each key range; all blobs of a range
 meet in one task, which answers each with a blob in the order asked. Answers then join the stored
 chunks by bucket, so texts are exchanged once however often chunks ask. A key occurs once a chunk in
 what is sent, so a frequent key costs one entry a chunk and lands in no task more often than that.
@@ -14,13 +14,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.base import order_key, staged
-from lakeloom.llm.order import SLICE_ROWS, bounds_of, slice_of
 from lakeloom.session import drop_dir, shared_dir
 
+CHUNK_BYTES = 8 << 20
+MOST_CHUNKS = 500_000  # range borders that Spark holds on the driver; beyond, chunks are larger
+MOST_RANGES = 4096
 ASKED = "range int, slice int, keys binary, more binary"
 ANSWERED = "range int, slice int, reply binary"
 
@@ -43,43 +46,31 @@ def split(keys: np.ndarray, ranges: int) -> list[int]:
     return [0, *np.searchsorted(keys, np.array(steps, np.uint64)).tolist(), len(keys)]
 
 
-def _store(column: str):
-    def run(batches):
-        at, kept = None, []
-        for batch in batches:
-            slice_no = np.asarray(batch.column("slice"))
-            rows = batch.column("row")
-            edges = [0, *(np.flatnonzero(np.diff(slice_no)) + 1).tolist(), len(slice_no)]
-            for a, b in zip(edges, edges[1:]):
-                if kept and slice_no[a] != at:
-                    yield pa.RecordBatch.from_pydict({"slice": pa.array([at], pa.int32()), "body": [to_ipc(kept)]})
-                    kept = []
-                at = int(slice_no[a])
-                kept.append(pa.RecordBatch.from_struct_array(rows.slice(a, b - a)))
-        if kept:
-            yield pa.RecordBatch.from_pydict({"slice": pa.array([at], pa.int32()), "body": [to_ipc(kept)]})
-
-    return run
+def _store(batches):
+    kept = [pa.RecordBatch.from_struct_array(b.column("row")) for b in batches if b.num_rows]
+    if kept:
+        yield pa.RecordBatch.from_pydict({
+            "slice": pa.array([TaskContext.get().partitionId()], pa.int32()), "body": pa.array([to_ipc(kept)], pa.binary())})
 
 
 class Chunks:
-    """The stored chunks of ``docs`` with all their columns, in order of (doc_id, text), null ids first.
+    """The stored chunks of ``docs`` with all their columns, in order of (doc_id, hash of the text), null ids first.
 
     ``close`` drops the table and every folder made for it; call it once the result is written.
     """
 
-    def __init__(self, docs: DataFrame, slice_rows: int = SLICE_ROWS):
+    def __init__(self, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES):
         self.spark = docs.sparkSession
-        bounds = bounds_of(docs, slice_rows)
-        self.slices = len(bounds) + 1
-        self.ranges = max(8, self.slices)
+        size = docs.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 1
+        self.count = min(MOST_CHUNKS, -(-size // chunk_bytes))
+        self.ranges = max(8, min(MOST_RANGES, self.count))
         self.folders: list[str] = []
         self.row_type = docs.select(F.struct("*").alias("row")).schema["row"].dataType
-        keyed = docs.select(F.struct("*").alias("row")).withColumn("k", order_key("row.doc_id"))
-        rows = keyed.withColumn("slice", slice_of(bounds)).repartition(self.slices, "slice") \
-            .sortWithinPartitions("slice", "k", "row.text").select("slice", "row")
+        keyed = docs.select(F.struct("*").alias("row")).select(
+            "row", order_key("row.doc_id").alias("k"), F.xxhash64("row.text").alias("th"))
+        rows = keyed.repartitionByRange(self.count, "k", "th").sortWithinPartitions("k", "th").select("row")
         self.table = f"chunks_{uuid.uuid4().hex}"
-        rows.mapInArrow(_store("row"), "slice int, body binary").write.bucketBy(self.slices, "slice") \
+        rows.mapInArrow(_store, "slice int, body binary").write.bucketBy(self.count, "slice") \
             .option("path", self._folder("chunks")).option("compression", "zstd") \
             .option("parquet.block.size", 32 << 20).saveAsTable(self.table)
 

@@ -19,8 +19,7 @@ from pyspark.sql import types as T
 
 from lakeloom.llm import arrays
 from lakeloom.llm.base import documents, query, staged, words
-from lakeloom.llm.chunks import Chunks
-from lakeloom.llm.order import SLICE_ROWS
+from lakeloom.llm.chunks import CHUNK_BYTES, Chunks
 
 LENGTH = 20
 ANCHOR = 10
@@ -96,15 +95,15 @@ def _factors(words: Words, block: np.ndarray) -> list[list[dict]]:
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
-          slice_rows: int = SLICE_ROWS) -> tuple[DataFrame, Chunks]:
+          chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, Chunks]:
     """(rows, chunks): ``row`` with its text cut, n_words, n_removed, factors (start, length in words, block).
 
     Windows are judged on the input. A text without duplicate words stays byte for byte; in another,
     each removed word goes with the white space behind it. A null text has no words and stays null. Of
-    repeated rows, and of rows that share an id, the first in order of (doc_id, text) keeps its words.
+    repeated rows, and of rows that share an id, the first in order of (doc_id, hash of the text) keeps its words.
     An empty table gives no rows. Call ``chunks.close()`` once the result is written.
     """
-    chunks = Chunks(docs, slice_rows)
+    chunks = Chunks(docs, chunk_bytes)
 
     def anchors(at, table, _):
         return np.unique(Words(table, length, anchor).anchors), None
