@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.base import documents, query, staged
@@ -56,7 +56,10 @@ def _goals(cells: DataFrame, axis: str, target: dict | float) -> DataFrame:
 
 
 def rake(cells: DataFrame, targets: dict[str, dict | float], rounds: int = ROUNDS) -> DataFrame:
-    """Cells with calibrated share ``w`` and present share ``share``; sums are taken by aggregation, not by windows."""
+    """Cells with calibrated share ``w`` and present share ``share``.
+
+    The windows run over cells, of which there are at most as many as combinations of axis values.
+    """
     whole = cells.agg(F.sum("tokens").cast("double").alias("whole"))
     state = cells.crossJoin(F.broadcast(whole)).withColumn("share", F.col("tokens") / F.col("whole")).drop("whole")  # one row
     for axis in AXES:
@@ -64,8 +67,7 @@ def rake(cells: DataFrame, targets: dict[str, dict | float], rounds: int = ROUND
     state = state.withColumn("w", F.col("share"))
     for r in range(rounds):
         for axis in AXES:
-            sums = state.groupBy(axis).agg(F.sum("w").alias("s"))
-            state = state.join(sums, axis).withColumn("w", F.col("w") * F.col(f"goal_{axis}") / F.col("s")).drop("s")
+            state = state.withColumn("w", F.col("w") * F.col(f"goal_{axis}") / F.sum("w").over(Window.partitionBy(axis)))
         if r % CUT_EVERY == CUT_EVERY - 1:
             state = staged(state, "rake")
     return state
