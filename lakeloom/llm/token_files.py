@@ -19,51 +19,54 @@ from lakeloom.llm.order import bounds_of, slice_of
 from lakeloom.session import drop_dir, shared_dir
 
 BLOCK_TOKENS = 1 << 16
-STORE = "slice int, block int, doc_ids array<bigint>, doc_tokens array<bigint>, ids binary"
-CODED = "slice int, block int, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<bigint>, coded binary"
+STORE = "slice int, block int, before bigint, doc_ids array<bigint>, doc_tokens array<bigint>, ids binary"
+CODED = "slice int, block int, before bigint, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<bigint>, coded binary"
 
 
-def _to_blocks(path: str, end_id: int):
-    """Sorted documents to rows of STORE: whole documents until a block is full."""
+COUNTS = -1  # slice number of the rows that hold id counts (doc_ids: ids, doc_tokens: their counts)
 
-    def run(batches):
-        at, block, docs, ids, size = None, 0, [], [], 0
 
-        def flush():
-            return pa.RecordBatch.from_pydict({
-                "slice": pa.array([at], pa.int32()), "block": pa.array([block], pa.int32()),
-                "doc_ids": pa.array([docs], pa.list_(pa.int64())),
-                "doc_tokens": pa.array([[len(i) // 4 for i in ids]], pa.list_(pa.int64())),
-                "ids": pa.array([b"".join(ids)], pa.binary())})
+def _row(at: int, block: int, before: int, docs, sizes, ids: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({
+        "slice": pa.array([at], pa.int32()), "block": pa.array([block], pa.int32()), "before": pa.array([before], pa.int64()),
+        "doc_ids": pa.array([docs], pa.list_(pa.int64())), "doc_tokens": pa.array([sizes], pa.list_(pa.int64())),
+        "ids": pa.array([ids], pa.binary())})
+
 
+def _to_blocks(path: str, end_id: int):
+    """Sorted documents to rows of STORE: whole documents until a block is full; then the counts of all ids."""
+
+    def run(batches):
+        at, block, before, docs, ids, size, total = None, 0, 0, [], [], 0, np.zeros(0, np.int64)
         for batch in batches:
             slice_no, doc_id = batch.column("slice").to_pylist(), batch.column("doc_id").to_pylist()
             for i, strings in slices(batch.column("text")):
                 for k, got in enumerate(tokens.encoded(strings.to_pylist(), path, end_id), i):
-                    if docs and (slice_no[k] != at or size >= BLOCK_TOKENS):
-                        yield flush()
-                        block, docs, ids, size = (block + 1 if slice_no[k] == at else 0), [], [], 0
-                    elif slice_no[k] != at:
-                        block = 0
-                    at = slice_no[k]
+                    new = slice_no[k] != at
+                    if docs and (new or size >= BLOCK_TOKENS):
+                        flat = b"".join(ids)
+                        total = _added(total, flat)
+                        yield _row(at, block, before, docs, [len(x) // 4 for x in ids], flat)
+                        block, before, docs, ids, size = block + 1, before + size, [], [], 0
+                    if new:
+                        at, block, before = slice_no[k], 0, 0
                     docs.append(doc_id[k])
                     ids.append(got)
                     size += len(got) // 4
         if docs:
-            yield flush()
+            flat = b"".join(ids)
+            total = _added(total, flat)
+            yield _row(at, block, before, docs, [len(x) // 4 for x in ids], flat)
+        some = np.flatnonzero(total)
+        yield _row(COUNTS, 0, 0, some.tolist(), total[some].tolist(), b"")
 
     return run
 
 
-def _count(batches):
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        for ids in batch.column("ids").to_pylist():
-            got = np.bincount(np.frombuffer(ids, "<u4"), minlength=len(total))
-            got[:len(total)] += total
-            total = got
-    some = np.flatnonzero(total)
-    yield pa.RecordBatch.from_pydict({"id": some, "n": total[some]})
+def _added(total: np.ndarray, ids: bytes) -> np.ndarray:
+    got = np.bincount(np.frombuffer(ids, "<u4"), minlength=len(total))
+    got[:len(total)] += total
+    return got
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = tokens.END_ID) -> None:
@@ -78,7 +81,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_
         .repartition("slice").sortWithinPartitions("slice", "k", "text").select("slice", "doc_id", "text")
     store_path = shared_dir(spark, "token-store")
     store = staged(ordered.mapInArrow(_to_blocks(vocabulary, end_id), STORE), "token-store", store_path)
-    counts = store.select("ids").mapInArrow(_count, "id bigint, n bigint").groupBy("id").agg(F.sum("n")).collect()
+    counts = store.where(F.col("slice") == COUNTS).select(F.explode(F.arrays_zip("doc_ids", "doc_tokens")).alias("c")) \
+        .groupBy("c.doc_ids").agg(F.sum("c.doc_tokens")).collect()
     freq = np.zeros(max((i for i, _ in counts), default=0) + 1, np.int64)  # a number for each id of the vocabulary
     for i, n in counts:
         freq[i] = n
@@ -96,11 +100,12 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_
                 part = batch.slice(a, rans.ROWS)
                 arrays = [np.frombuffer(b, "<u4") for b in ids[a:a + rans.ROWS]]
                 yield pa.RecordBatch.from_pydict({
-                    "slice": part.column("slice"), "block": part.column("block"), "n_tokens": [len(x) for x in arrays],
+                    "slice": part.column("slice"), "block": part.column("block"), "before": part.column("before"),
+                    "n_tokens": [len(x) for x in arrays],
                     "doc_ids": part.column("doc_ids"), "doc_tokens": part.column("doc_tokens"),
                     "coded": pa.array(rans.encode(arrays, t), pa.binary())})
 
-    store.mapInArrow(code, CODED).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    store.where(F.col("slice") != COUNTS).mapInArrow(code, CODED).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     drop_dir(spark, store_path)
 
 
@@ -116,24 +121,19 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
             for a in range(0, batch.num_rows, rans.ROWS):
                 part = batch.slice(a, rans.ROWS)
                 decoded = rans.decode(part.column("coded").to_pylist(), t)
-                for s, b, docs, sizes, ids in zip(*(part.column(c).to_pylist() for c in (
-                        "slice", "block", "doc_ids", "doc_tokens")), decoded):
+                for s, before, docs, sizes, ids in zip(*(part.column(c).to_pylist() for c in (
+                        "slice", "before", "doc_ids", "doc_tokens")), decoded):
                     ends = np.cumsum(sizes)
                     begin = ends - sizes
                     yield pa.RecordBatch.from_pydict({
-                        "slice": pa.array([s] * len(docs), pa.int32()), "block": pa.array([b] * len(docs), pa.int32()),
-                        "doc_id": pa.array(docs, pa.int64()), "within": begin, "n_tokens": np.asarray(sizes, np.int64),
+                        "slice": pa.array([s] * len(docs), pa.int32()),
+                        "doc_id": pa.array(docs, pa.int64()), "within": begin + before, "n_tokens": np.asarray(sizes, np.int64),
                         "ids": pa.array([ids[x:y].tobytes() for x, y in zip(begin, ends)], pa.binary())})
 
-    sizes = blocks.select("slice", "block", "n_tokens")
-    by_slice = sizes.groupBy("slice").agg(F.sum("n_tokens").alias("n")).select(
-        "slice", F.coalesce(F.sum("n").over(Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)),
-                            F.lit(0)).alias("slice_start"))  # a row for each slice
-    starts = sizes.withColumn("block_start", F.coalesce(F.sum("n_tokens").over(
-        Window.partitionBy("slice").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
-        .join(F.broadcast(by_slice), "slice").select("slice", "block", (F.col("slice_start") + F.col("block_start")).alias("base"))
-    rows = blocks.mapInArrow(expand, "slice int, block int, doc_id bigint, within bigint, n_tokens bigint, ids binary")
-    return rows.join(starts, ["slice", "block"]).select(
+    starts = blocks.groupBy("slice").agg(F.sum("n_tokens").alias("n")).select("slice", F.coalesce(
+        F.sum("n").over(Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    rows = blocks.mapInArrow(expand, "slice int, doc_id bigint, within bigint, n_tokens bigint, ids binary")
+    return rows.join(F.broadcast(starts), "slice").select(  # MOST_SLICES rows
         "doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids")
 
 

@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 BYTE_BPE = "byte_bpe_50k.json"
 END_ID = 0
-MEMO_SIZE = 200_000   # pieces of each of two generations that a worker remembers
+MEMO_SIZE = 120_000   # pieces of each of two generations that a worker remembers
 LONGEST_MEMO = 64     # characters of a remembered piece
 latin = re.compile("[\0-\u024f]+").fullmatch  # letters in it are letters in every version of Unicode
 UNSAFE = ("  ", " \n", "\n ", "\n\n", "<|")
