@@ -23,7 +23,7 @@ from lakeloom.llm.chunks import CHUNK_BYTES, Chunks
 
 LENGTH = 20
 ANCHOR = 10
-NOWHERE = np.int32(np.iinfo(np.int32).max)
+NOWHERE = np.int64(np.iinfo(np.int64).max)
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -57,15 +57,15 @@ class Words:
 def _elsewhere(keys: np.ndarray, slices: np.ndarray, _) -> np.ndarray:
     """1 for each key that another block holds as well."""
     _, at, times = np.unique(keys, return_inverse=True, return_counts=True)
-    return (times[at] > 1).astype(np.uint8)
+    return (times[at] > 1).astype(np.uint8), []
 
 
 def _earliest(keys: np.ndarray, slices: np.ndarray, _) -> np.ndarray:
     """The first block that holds each key."""
     distinct, at = np.unique(keys, return_inverse=True)
-    first = np.full(len(distinct), NOWHERE, np.int32)
-    np.minimum.at(first, at, slices.astype(np.int32))
-    return first[at]
+    first = np.full(len(distinct), NOWHERE)
+    np.minimum.at(first, at, slices)
+    return first[at], []
 
 
 def _shared_windows(words: Words, replies: bytes) -> np.ndarray:
@@ -109,22 +109,20 @@ def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
         return np.unique(Words(table, length, anchor).anchors), None
 
     def windows(at, table, replies):
-        return _shared_windows(Words(table, length, anchor), replies), None
+        return _shared_windows(Words(table, length, anchor), replies[0]), None
 
-    found = chunks.ask(None, anchors, _elsewhere, "anchors")
-    first = chunks.ask(found, windows, _earliest, "windows")
-    both = found.withColumn("range", F.col("range") - (1 << 20)).unionByName(first)  # anchors' replies come first
+    found = chunks.ask([], anchors, _elsewhere, "anchors")
+    first = chunks.ask([found], windows, _earliest, "windows")
     kind = T.StructType([T.StructField("row", chunks.row_type), T.StructField("n_words", T.LongType()),
                          T.StructField("n_removed", T.LongType()),
                          T.StructField("factors", T.ArrayType(T.StructType.fromDDL("start bigint, length bigint, block bigint")))])
 
     def finish(at, table, replies):
         words = Words(table, length, anchor)
-        n_anchors = len(np.unique(words.anchors))
-        shared = _shared_windows(words, replies[:n_anchors])
-        source = np.frombuffer(replies[n_anchors:], np.int32)
+        shared = _shared_windows(words, replies[0])
+        source = np.frombuffer(replies[1], np.int64)
         assert len(source) == len(shared)
-        block = np.full(len(words.keys), NOWHERE, np.int32)
+        block = np.full(len(words.keys), NOWHERE)
         _, once = np.unique(words.keys, return_index=True)
         again = np.ones(len(words.keys), bool)
         again[once] = False
@@ -157,7 +155,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
                  pa.array(factors[i:i + n], pa.list_(pa.struct([(x, pa.int64()) for x in ("start", "length", "block")])))],
                 ["row", "n_words", "n_removed", "factors"])
 
-    return chunks.apply(both, finish, kind), chunks
+    return chunks.apply([found, first], finish, kind), chunks
 
 
 def _without(strings: pa.Array, texts: arrays.Bytes, runs: arrays.Runs, gone: np.ndarray) -> pa.Array:
