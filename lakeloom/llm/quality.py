@@ -19,8 +19,9 @@ from lakeloom.llm import arrays
 from lakeloom.llm.base import documents, query
 
 BIN_BITS = 14
-SMOOTHING = 1.0            # added to every bin of both counts
-THRESHOLD = -0.05          # mean log ratio below which a text is rejected
+SMOOTHING = 1.0            # added to every bin of the raw counts
+PRIOR = 16                 # pseudo-counts a bin, spread like the raw corpus, added to the trusted counts
+THRESHOLD = -0.06          # mean log ratio below which a text is rejected
 MOST_TRUSTED = 200_000     # trusted ids used at most: those with the smallest hash
 FEWEST_WORDS = 20
 MOST_REPEATED = 30         # percent of words in repeated windows
@@ -71,8 +72,9 @@ def log_ratios(docs: DataFrame, labels: DataFrame, most: int = MOST_TRUSTED) ->
         raw[b], trusted[b] = r, g
     if not trusted.sum():
         return np.zeros(1 << BIN_BITS)  # nothing is trusted: no evidence against any text
-    p, q = trusted + SMOOTHING, raw + SMOOTHING
-    return np.log(p / p.sum()) - np.log(q / q.sum())
+    q = (raw + SMOOTHING) / (raw + SMOOTHING).sum()
+    weight = PRIOR * len(q)  # few trusted texts say little against a text of their kind
+    return np.log((trusted + weight * q) / (trusted.sum() + weight)) - np.log(q)
 
 
 def measures(strings: pa.Array, ratios: np.ndarray) -> dict[str, np.ndarray]:
