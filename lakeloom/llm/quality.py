@@ -61,7 +61,7 @@ def trusted_ids(labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
     return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, most: int = MOST_TRUSTED) -> np.ndarray:
+def log_ratios(docs: DataFrame, labels: DataFrame, most: int = MOST_TRUSTED, prior: float = PRIOR) -> np.ndarray:
     """Log ratio of trusted to raw probability of each bin (2**BIN_BITS numbers), counted over all documents."""
     good = trusted_ids(labels, most).withColumn("trusted", F.lit(True))
     both = docs.select("doc_id", "text").join(F.broadcast(good), "doc_id", "left").select("text", "trusted")
@@ -73,7 +73,7 @@ def log_ratios(docs: DataFrame, labels: DataFrame, most: int = MOST_TRUSTED) ->
     if not trusted.sum():
         return np.zeros(1 << BIN_BITS)  # nothing is trusted: no evidence against any text
     q = (raw + SMOOTHING) / (raw + SMOOTHING).sum()
-    weight = PRIOR * len(q)  # few trusted texts say little against a text of their kind
+    weight = prior * len(q)  # few trusted texts say little against a text of their kind
     return np.log((trusted + weight * q) / (trusted.sum() + weight)) - np.log(q)
 
 

@@ -4,7 +4,7 @@ A block is coded by LANES interleaved states of 64 bits that share one frequency
 belongs to lane i % LANES. The states and the place in the word stream are kept at every CHECKPOINT
 steps, with a checksum of the tokens up to the next one, so each segment decodes on its own.
 Layout (little-endian): magic, frequency bits, lanes, steps a segment, tokens, segments, words, crc32
-of the table; per segment: first word, crc32; states of all segments; words of 32 bits.
+of the table, crc32 of the rest; per segment: first word, crc32; states of all segments; words of 32 bits.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import numpy as np
 LANES = 128
 CHECKPOINT = 256  # steps
 MAGIC = b"RNS1"
-HEAD = struct.Struct("<4sBxHIIIII")
+HEAD = struct.Struct("<4sBxHIIIIII")
 LOW = np.uint64(1 << 32)
 ROWS = 32  # segments or blocks worked on at a time
 U = np.uint64
@@ -88,17 +88,19 @@ def _encode(blocks, t):
         flat = np.asarray(b, "<u4")
         index = b"".join(struct.pack("<II", int(before[s]), zlib.crc32(flat[s * LANES:(s + CHECKPOINT) * LANES].tobytes()))
                          for s in own)
-        yield (HEAD.pack(MAGIC, t.bits, LANES, CHECKPOINT, len(b), len(own), len(stream) // 4, t.check)
-               + index + b"".join(states[s].astype("<u8")[r].tobytes() for s in own) + stream)
+        rest = index + b"".join(states[s].astype("<u8")[r].tobytes() for s in own) + stream
+        yield HEAD.pack(MAGIC, t.bits, LANES, CHECKPOINT, len(b), len(own), len(stream) // 4, t.check, zlib.crc32(rest)) + rest
 
 
 def decode(blobs: list[bytes], t: Table) -> list[np.ndarray]:
     """The ids of each block; raises if a checksum is wrong."""
     out, segments = [], []
     for i, blob in enumerate(blobs):
-        magic, bits, lanes, every, n, parts, n_words, check = HEAD.unpack_from(blob)
+        magic, bits, lanes, every, n, parts, n_words, check, rest = HEAD.unpack_from(blob)
         if (magic, bits, lanes, check) != (MAGIC, t.bits, LANES, t.check):
             raise ValueError("not a block of this table")
+        if zlib.crc32(memoryview(blob)[HEAD.size:]) != rest:
+            raise ValueError("checksum of a block is wrong")
         index = np.frombuffer(blob, "<u4", 2 * parts, HEAD.size).reshape(parts, 2)
         at = HEAD.size + 8 * parts
         states = np.frombuffer(blob, "<u8", parts * lanes, at).reshape(parts, lanes)
