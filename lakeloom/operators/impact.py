@@ -47,26 +47,29 @@ def crud_summary(crud: DataFrame) -> DataFrame:
         *[F.countDistinct(F.when(F.col(c) == 1, F.col("ajs_name"))).alias(f"{op}_jobs") for op, c in FLAGS.items()])
 
 
-def impact_closure(crud: DataFrame, start: DataFrame, depth: int = 3) -> DataFrame:
+def impact_closure(crud: DataFrame, start: DataFrame, depth: int | None = None) -> DataFrame:
     """Tables reached from the start tables through jobs that read one table and write another.
 
-    Breadth first, one join pair per level; each level only carries tables not seen before, and
-    its lineage is cut.
+    Breadth first over the table-level edges, one join a level, until no new table is reached; the
+    lineage of each level is cut. With ``depth`` the search ends there, and ``is_complete`` tells
+    whether that was all.
     """
     use = cut_lineage(crud.groupBy("table_name_jp", "ajs_name").agg(
         F.max("crud_r_flag").alias("r"), F.max(F.greatest("crud_c_flag", "crud_u_flag", "crud_d_flag")).alias("w")))
     reads = use.where("r = 1").select("table_name_jp", "ajs_name")
     writes = use.where("w = 1").select("ajs_name", F.col("table_name_jp").alias("target"))
+    edges = cut_lineage(reads.join(writes, "ajs_name").select("table_name_jp", "target").distinct())
     seen = start.select("table_name_jp").distinct().withColumn("depth", F.lit(0))
-    frontier = seen
-    for level in range(1, depth + 1):
-        jobs = reads.join(frontier.select("table_name_jp"), "table_name_jp", "left_semi").select("ajs_name").distinct()
-        nxt = writes.join(jobs, "ajs_name", "left_semi").select(F.col("target").alias("table_name_jp")).distinct()
+    frontier, level, complete = seen, 0, False
+    while not complete:
+        level += 1
+        nxt = edges.join(frontier, "table_name_jp", "left_semi").select(F.col("target").alias("table_name_jp")).distinct()
         frontier = cut_lineage(nxt.join(seen, "table_name_jp", "left_anti").withColumn("depth", F.lit(level)))
-        if frontier.isEmpty():
+        complete = frontier.isEmpty()
+        if level > (depth or level):
             break
         seen = seen.unionByName(frontier)
-    return seen
+    return seen.withColumn("is_complete", F.lit(complete))
 
 
 def route(questions: DataFrame, text: str, rules: dict[str, list[str]] | None = None) -> DataFrame:

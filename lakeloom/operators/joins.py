@@ -96,10 +96,11 @@ def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_
     """Pairs where the text contains the pattern: ``text LIKE '%' || pattern || '%'``.
 
     Few distinct patterns (checked) are tested in one pass over the texts, and the hits are joined
-    back to the pattern rows. Otherwise texts and patterns meet on a shared n-gram, an equi join,
-    and each meeting is verified. A pattern may occur in any number of rows.
+    back to the pattern rows. Otherwise texts and patterns meet on a shared n-gram, an equi join of
+    (text number, gram) rows; only the distinct meetings fetch their text and are verified. A pattern
+    may occur in any number of rows; the empty pattern is in every text that is not NULL.
     """
-    pats = patterns.where(F.col(pattern_col) != "")
+    pats = patterns.where(F.col(pattern_col).isNotNull())  # the empty pattern is in every text
     rows = small_rows(pats.select(pattern_col).distinct(), max_inline)
     if rows is not None:
         if not rows:
@@ -109,16 +110,24 @@ def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_
             F.filter(lit, lambda p: F.contains(F.col(text_col), p))))
         return hits.join(pats, F.col("_hit") == F.col(pattern_col)).drop("_hit")
     # patterns meet the texts by length class, so that a short pattern does not shorten all grams
+    # (a gram row carries the text's hash, not the text)
     n = F.length(pattern_col)
-    size = F.lit(1)
+    size = F.when(n >= 1, F.lit(1)).otherwise(F.lit(0))
     for q in GRAM_SIZES:
         size = F.when(n >= q, F.lit(q)).otherwise(size)
     sized = pats.withColumn("_size", size)
     out = None
-    for q in sorted(r[0] for r in sized.select("_size").distinct().collect()):  # at most five values
-        left = texts.withColumn("_gram", F.explode_outer(grams(text_col, q)))
-        right = sized.where(F.col("_size") == q).withColumn("_gram", F.left(pattern_col, F.lit(q))).drop("_size")
-        hits = left.join(right, "_gram").where(F.contains(F.col(text_col), F.col(pattern_col))).drop("_gram")
+    bodies = texts.select(F.col(text_col).alias("_body")).where("_body IS NOT NULL").distinct().withColumn("_t", F.sha2("_body", 256))
+    for q in sorted(r[0] for r in sized.select("_size").distinct().collect()):  # at most six values
+        own = sized.where(F.col("_size") == q).select(F.col(pattern_col).alias("_pattern")).distinct()
+        if q == 0:
+            met = bodies.crossJoin(F.broadcast(own))  # the empty pattern alone
+        else:
+            left = bodies.select("_t", F.explode(grams("_body", q)).alias("_gram"))
+            met = left.join(own.withColumn("_gram", F.left("_pattern", F.lit(q))), "_gram").select("_t", "_pattern").distinct() \
+                .join(bodies, "_t").where(F.contains("_body", F.col("_pattern")))
+        hits = texts.join(met.select("_body", "_pattern"), F.col(text_col) == F.col("_body")) \
+            .join(pats, F.col("_pattern") == F.col(pattern_col)).drop("_body", "_pattern")
         out = hits if out is None else out.unionByName(hits)
     return out
 

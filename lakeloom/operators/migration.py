@@ -107,13 +107,21 @@ def reconcile_counts(source: dict[str, DataFrame], copy: dict[str, DataFrame]) -
 
 
 def reconcile_rows(source: DataFrame, copy: DataFrame, key: str) -> DataFrame:
-    """Keys whose rows differ: missing, extra or changed. Only a row digest is shuffled."""
+    """Keys whose rows differ: missing, extra or changed. Only a digest of each key is shuffled.
+
+    A NULL is told apart from every value and keeps its column. A key may repeat: the digests of all
+    its rows are compared as a multiset, and the key is reported once. NULL keys are one key.
+    """
     cols = [c for c in source.columns if c != key]
+    marked = [x for c in cols for x in (F.col(c).isNull(), F.col(c))]
 
     def digest(df, name):
-        return df.select(key, F.xxhash64(*cols).alias(name))
+        row = F.xxhash64(*marked) if marked else F.lit(0)
+        return df.groupBy(key).agg(F.sum(row.cast("decimal(38,0)")).alias("total"), F.count(F.lit(1)).alias("n")) \
+            .select(F.col(key).alias(f"{name}k"), F.struct("total", "n").alias(name))
 
-    j = digest(source, "_s").join(digest(copy, "_c"), key, "full_outer")
+    j = digest(source, "_s").join(digest(copy, "_c"), F.col("_sk").eqNullSafe(F.col("_ck")), "full_outer") \
+        .withColumn(key, F.when(F.col("_s").isNull(), F.col("_ck")).otherwise(F.col("_sk")))
     status = F.when(F.col("_c").isNull(), "missing").when(F.col("_s").isNull(), "extra").when(F.col("_s") != F.col("_c"), "changed")
     return j.select(key, status.alias("status")).where(F.col("status").isNotNull())
 

@@ -201,11 +201,11 @@ def _recompute(f):
 
 @query("fill_missing_summary", """
 SELECT source_id, coalesce(ai_summary, CASE WHEN length(source_code) > 0
-  THEN 'Summary of ' || file_name || ': ' || left(source_code, 8000) END) AS ai_summary,
+  THEN 'Summary of ' || file_name || ': ' || source_code END) AS ai_summary,
   CASE WHEN ai_summary IS NULL AND length(source_code) > 0 THEN TIMESTAMP '2024-01-30 00:00:00' END AS update_at
 FROM src""", "src")
 def _fill_missing(f):
-    prompt = F.concat(F.lit("Summary of "), "file_name", F.lit(": "), F.left("source_code", F.lit(8000)))
+    prompt = F.concat(F.lit("Summary of "), "file_name", F.lit(": "), "source_code")
     out = dml.fill_missing(f.src(), "ai_summary", prompt, F.length("source_code") > 0, "update_at",
                            wall_time(f.events_as_of))
     return out.select("source_id", "ai_summary", "update_at")

@@ -105,14 +105,14 @@ def _catalog(f):
                         F.countDistinct("table_name_jp").alias("tables"), F.countDistinct("module_name").alias("modules"))
 
 
-@query("impact_closure", """WITH r AS (SELECT DISTINCT table_name_jp AS t, ajs_name AS j FROM crud WHERE crud_r_flag = 1),
+@query("impact_closure", """WITH RECURSIVE r AS (SELECT DISTINCT table_name_jp AS t, ajs_name AS j FROM crud WHERE crud_r_flag = 1),
 w AS (SELECT DISTINCT table_name_jp AS t, ajs_name AS j FROM crud WHERE crud_c_flag = 1 OR crud_u_flag = 1 OR crud_d_flag = 1),
 e AS (SELECT DISTINCT r.t AS a, w.t AS b FROM r JOIN w USING (j)),
-d1 AS (SELECT DISTINCT b AS t FROM e WHERE a = 'T_7'), d2 AS (SELECT DISTINCT e.b AS t FROM e JOIN d1 ON e.a = d1.t)
-SELECT t AS table_name_jp, CAST(min(d) AS INT) AS depth FROM (SELECT 'T_7' AS t, 0 AS d UNION ALL SELECT t, 1 FROM d1 UNION ALL SELECT t, 2 FROM d2) GROUP BY 1""", "crud")
+x AS (SELECT 'T_7' AS t, 0 AS d UNION SELECT e.b, x.d + 1 FROM x JOIN e ON e.a = x.t WHERE x.d < (SELECT count(DISTINCT b) FROM e))
+SELECT t AS table_name_jp, CAST(min(d) AS INT) AS depth, TRUE AS is_complete FROM x GROUP BY 1""", "crud")
 def _closure(f):
     c = f.crud()
-    return impact.impact_closure(c, c.where("table_name_jp = 'T_7'"), 2)
+    return impact.impact_closure(c, c.where("table_name_jp = 'T_7'"))
 
 
 RULES = {**impact.TOOL_KEYWORDS, "metric_tool": ["tion", "the"], "document_tool": ["ung", "und", "de la"]}

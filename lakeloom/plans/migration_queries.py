@@ -150,10 +150,7 @@ def sizes(f):
     return catalog(f, "files").groupBy("db_name").agg(F.expr("sum(size) * 8 div 1024 div 1024").alias("size_gb"))
 
 
-# Some checks leave every database on a VM when the whole inventory counts, so the decision is
-# shown over the database flags, queues and linked servers only.
-DECISION_IDS = ("1-1", "1-2", "5-1", "5-2", "6-1", "6-2")
-DECISION_SQL = feature_sql([x for x in migration.FEATURES if x.id in DECISION_IDS])
+DECISION_SQL = feature_sql(migration.FEATURES)
 
 
 @query("target_decision", f"""WITH x AS ({DECISION_SQL}), a AS (SELECT db_name, max(size) > 15000000 AS oltp, min(size) < 50000000 AS read_only, count(*) > 2900 AS big_or_rare
@@ -164,7 +161,7 @@ ELSE 'SQL DB Serverless' END AS target FROM a LEFT JOIN g ON a.db_name = g.db_na
 def _target(f):
     answers = catalog(f, "files").groupBy("db_name").agg(
         (F.max("size") > 15000000).alias("oltp"), (F.min("size") < 50000000).alias("read_only"), (F.count(F.lit(1)) > 2900).alias("big_or_rare"))
-    return migration.target_decision(inventory(f, *DECISION_IDS), answers).select("db_name", "target")
+    return migration.target_decision(inventory(f), answers).select("db_name", "target")
 
 
 METHOD = "CASE WHEN read_only THEN 'Parquet export' WHEN size_gb < 200 AND downtime_ok THEN 'BACPAC' ELSE 'DMS' END"
@@ -192,11 +189,18 @@ def _table_rows(f):
 
 
 @query("reconcile_hash", """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'missing' ELSE 'changed' END AS status FROM orders
-WHERE o_orderstatus = 'P' OR (o_orderpriority = '1-URGENT' AND o_totalprice > 400000)""")
+WHERE o_orderstatus = 'P' OR (o_orderpriority = '1-URGENT' AND o_totalprice > 400000)
+UNION ALL SELECT DISTINCT o_orderkey, 'changed' FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 50 = 0
+AND NOT (o_orderpriority = '1-URGENT' AND o_totalprice > 400000)""")
 def _hash(f):
-    src = f.orders
+    """Besides changed prices, the copy swaps a value with a NULL or repeats a row of some finished orders."""
+    odd = (F.col("o_orderstatus") == "F") & (F.col("o_orderkey") % 50 == 0)
+    src = f.orders.withColumn("a", F.lit(1)).withColumn("b", F.lit(None).cast("int"))
     drift = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 400000)
     copy = src.where("o_orderstatus <> 'P'").withColumn("o_totalprice", F.when(drift, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    even = F.col("o_orderkey") % 100 == 0
+    copy = copy.withColumn("a", F.when(odd & even, F.lit(None)).otherwise(F.lit(1))).withColumn("b", F.when(odd & even, F.lit(1)))
+    copy = copy.unionByName(copy.where(odd & ~even))
     return migration.reconcile_rows(src, copy, "o_orderkey")
 
 

@@ -18,6 +18,8 @@ def with_frames(sql: str, frames: tuple[str, ...]) -> str:
         return sql
     ctes = ",\n".join(f"{name} AS ({FRAME_SQL[name]})" for name in frames)
     sql = sql.strip()
+    if sql[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{sql[15:]}"
     if sql[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{sql[5:]}"
     return f"WITH {ctes}\n{sql}"

@@ -462,7 +462,7 @@ def _union(f):
 UNION ALL SELECT 'mid', 3000, 7000 UNION ALL SELECT 'high', 7000, 100000) g LEFT JOIN supplier ON s_acctbal >= lo AND s_acctbal < hi GROUP BY 1""")
 def _literals(f):
     v = values_relation(f.spark, ["base", "lo", "hi"], [("low", 0, 3000), ("mid", 3000, 7000), ("high", 7000, 100000)])
-    band = F.when(F.col("s_acctbal").between(0, 2999.999999), "low").when(
+    band = F.when((F.col("s_acctbal") >= 0) & (F.col("s_acctbal") < 3000), "low").when(
         (F.col("s_acctbal") >= 3000) & (F.col("s_acctbal") < 7000), "mid").when(
         (F.col("s_acctbal") >= 7000) & (F.col("s_acctbal") < 100000), "high")
     n = f.supplier.groupBy(band.alias("base")).agg(F.count(F.lit(1)).alias("n"))

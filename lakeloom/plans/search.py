@@ -264,18 +264,25 @@ def dated_documents(f):
 
 
 def refresh_index(index, docs):
-    """Re-tokenize only documents changed since the newest indexed one; other rows stay as they are."""
-    newest = index.agg(F.max("updated_at")).scalar()
-    changed = docs.where((F.col("updated_at") > newest) | newest.isNull())
+    """Re-tokenize the documents that the index lacks or holds in another state; late ones too.
+
+    Only ids and times meet in the comparison. A document that is gone leaves the index.
+    """
+    state = docs.select("doc_id", "updated_at")
+    same = index.join(state, ["doc_id", "updated_at"], "left_semi")
+    changed = docs.join(same.select("doc_id"), "doc_id", "left_anti")
     fresh = changed.select("doc_id", F.size(tokens("text")).cast("long").alias("n_tokens"), "updated_at", F.lit(True).alias("refreshed"))
-    return index.join(changed.select("doc_id"), "doc_id", "left_anti").unionByName(fresh)
+    return same.unionByName(fresh)
 
 
 @query("index_refresh", f"""SELECT doc_id, CAST(len({WORDS.format('text')}) AS BIGINT) AS n_tokens,
-TIMESTAMP '2024-01-01' + to_hours(doc_id) AS updated_at, TIMESTAMP '2024-01-01' + to_hours(doc_id) > TIMESTAMP '2024-01-15' AS refreshed FROM documents""")
+TIMESTAMP '2024-01-01' + to_hours(doc_id) AS updated_at,
+TIMESTAMP '2024-01-01' + to_hours(doc_id) > TIMESTAMP '2024-01-15' OR doc_id % 10 = 3 AS refreshed FROM documents WHERE doc_id % 17 <> 5""")
 def _refresh(f):
-    docs = dated_documents(f)
-    old = docs.where(F.col("updated_at") <= F.lit("2024-01-15").cast("timestamp_ntz"))
+    """The index lacks new and late documents (id % 10 = 3) and still holds deleted ones (id % 17 = 5)."""
+    every = dated_documents(f)
+    docs = every.where("doc_id % 17 <> 5")
+    old = every.where((F.col("updated_at") <= F.lit("2024-01-15").cast("timestamp_ntz")) & (F.col("doc_id") % 10 != 3))
     index = old.select("doc_id", F.size(tokens("text")).cast("long").alias("n_tokens"), "updated_at", F.lit(False).alias("refreshed"))
     return refresh_index(index, docs)
 
@@ -337,25 +344,26 @@ def _fallback(f):
     return g.select("query_id", "max_score", retrieval.answer_or_fallback("max_score", 0.3, F.col("names")).alias("answer"))
 
 
-def hybrid_context(metric_rows, metric_cols, doc_hits, excerpt: int = 400):
+def hybrid_context(metric_rows, metric_cols, doc_hits, excerpt: int | None = None):
     """Metric rows and document excerpts as one text; both inputs are short ordered results."""
     line = F.concat_ws(" ", *[F.col(c).cast("string") for c in metric_cols])
     metrics = metric_rows.agg(retrieval.ordered_text(line, ["rn"], "\n").alias("m"))
-    part = F.concat(F.lit("--- "), F.col("doc_name"), F.lit(" ---\n"), F.left("chunk_text", F.lit(excerpt)))
+    part = F.concat(F.lit("--- "), F.col("doc_name"), F.lit(" ---\n"),
+                    F.left("chunk_text", F.lit(excerpt)) if excerpt else F.col("chunk_text"))
     docs = doc_hits.groupBy("query_id").agg(retrieval.ordered_text(part, ["rn"], "\n\n").alias("d"))
     return docs.withColumn("m", metrics.scalar()).select(
         "query_id", F.concat(F.lit(retrieval.STRUCTURED_HEADER), "m", F.lit("\n\n" + retrieval.RELATED_HEADER), "d").alias("context"))
 
 
 @query("hybrid_context", f"""SELECT query_id, '【構造化データ集計結果】' || chr(10) || (SELECT string_agg(category || ' ' || n, chr(10) ORDER BY n DESC, category) FROM (
-SELECT p_type AS category, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1 ORDER BY n DESC, category LIMIT 20))
-|| chr(10) || chr(10) || '【関連ドキュメント】' || chr(10) || string_agg('--- ' || doc_name || ' ---' || chr(10) || left(chunk_text, 400), chr(10) || chr(10) ORDER BY rn) AS context
+SELECT p_type AS category, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1 ORDER BY n DESC, category))
+|| chr(10) || chr(10) || '【関連ドキュメント】' || chr(10) || string_agg('--- ' || doc_name || ' ---' || chr(10) || chunk_text, chr(10) || chr(10) ORDER BY rn) AS context
 FROM {HITS} GROUP BY 1""", VQ)
 def _hybrid_context(f):
-    from lakeloom.operators.topk import numbered
+    from pyspark.sql import Window
     g = f.lineitem.join(f.part, F.col("l_partkey") == F.col("p_partkey")).groupBy(
         F.col("p_type").alias("category")).agg(F.count(F.lit(1)).alias("n"))
-    m = numbered(g, [F.col("n").desc(), F.col("category")], 20, "rn")
+    m = g.withColumn("rn", F.row_number().over(Window.orderBy(F.col("n").desc(), "category")))  # a row a category
     return hybrid_context(m, ["category", "n"], hits_with_text(f, 3))
 
 

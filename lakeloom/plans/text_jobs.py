@@ -80,7 +80,7 @@ def _backfill(f):
     """Only sources without a summary go to the model; answers are joined back and fill the gaps."""
     src = f.src()
     need = src.where(F.col("ai_summary").isNull() & (F.length("source_code") > 0))
-    ans = retrieval.batch_complete(need.select("source_id", F.left("source_code", F.lit(8000)).alias("prompt")),
+    ans = retrieval.batch_complete(need.select("source_id", F.col("source_code").alias("prompt")),
                                    ["source_id"], "prompt", ["summary-model"], stub_client)
     j = src.join(ans.select("source_id", "answer"), "source_id", "left")
     return fill_missing(j, "ai_summary", F.col("answer"), F.col("answer").isNotNull()).select("source_id", "ai_summary")

@@ -22,9 +22,9 @@ from lakeloom.streaming.sinks import UpsertLog, run_batches
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int = 1000) -> DataFrame:
-    """Files of one table as a stream with a declared schema and bounded batches."""
-    return spark.readStream.schema(SCHEMAS[name]).option("maxFilesPerTrigger", files_per_batch).option(
-        "pathGlobFilter", f"{name}*.parquet").parquet(folder)
+    """One table, a file or a folder of files, as a stream with a declared schema and bounded batches."""
+    return spark.readStream.schema(SCHEMAS[name]).option("maxFilesPerTrigger", files_per_batch).parquet(
+        f"{folder}/{name}.parque[t]")  # as a pattern: a stream's plain path must be a folder
 
 
 def index_stream(docs: DataFrame, log: UpsertLog, checkpoint: str, lag: str | None = None) -> StreamingQuery:

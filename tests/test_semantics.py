@@ -99,7 +99,7 @@ def test_contains_join_keeps_copies_of_texts_and_patterns(rows, inline):
     texts = rows("i int, t string", *[(i, "the red ring") for i in range(30)], (99, "blue"))
     pats = rows("j int, p string", *[(j, "red") for j in range(20)], (50, "blue"), (51, ""))
     out = joins.contains_join(texts, "t", pats, "p", inline)
-    assert got(out, "i", "j") == sorted([(i, j) for i in range(30) for j in range(20)] + [(99, 50)])
+    assert got(out, "i", "j") == sorted([(i, j) for i in range(30) for j in range(20)] + [(99, 50)] + [(i, 51) for i in [*range(30), 99]])  # '' is in every text
 
 
 @pytest.mark.parametrize("inline", [500, 0])
@@ -275,8 +275,9 @@ def test_impact_closure_stops_at_depth(rows):
     flags = "ajs_name string, table_name_jp string, crud_c_flag int, crud_r_flag int, crud_u_flag int, crud_d_flag int"
     chain = [(f"j{i}", f"t{i}", 0, 1, 0, 0) for i in range(5)] + [(f"j{i}", f"t{i + 1}", 0, 0, 1, 0) for i in range(5)]
     df = rows(flags, *chain)
-    out = impact.impact_closure(df, df.where("table_name_jp = 't0'"), 3)
-    assert got(out) == [("t0", 0), ("t1", 1), ("t2", 2), ("t3", 3)]
+    start = df.where("table_name_jp = 't0'")
+    assert got(impact.impact_closure(df, start, 3)) == [(f"t{i}", i, False) for i in range(4)]
+    assert got(impact.impact_closure(df, start)) == [(f"t{i}", i, True) for i in range(6)]
 
 
 def test_routes(rows):
@@ -296,6 +297,9 @@ def test_reconcile_rows(rows):
     a = rows("k int, v int, w string", (1, 1, "x"), (2, 2, None), (3, 3, "z"))
     b = rows("k int, v int, w string", (1, 1, "x"), (2, 9, None), (4, 4, "q"))
     assert got(migration.reconcile_rows(a, b, "k")) == [(2, "changed"), (3, "missing"), (4, "extra")]
+    c = rows("k int, v string, w string", (1, "x", None), (2, "a", "b"), (2, "c", "d"), (None, "n", "n"))
+    d = rows("k int, v string, w string", (1, None, "x"), (2, "c", "d"), (2, "a", "b"), (None, "n", "n"))
+    assert got(migration.reconcile_rows(c, d, "k")) == [(1, "changed")]
 
 
 def test_target_decision_cascade(rows):

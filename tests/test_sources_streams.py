@@ -102,7 +102,8 @@ def test_streams_over_several_files_equal_batch(spark, tmp_path):
     def add(n, part):
         write_events(spark, tmp_path / "w", n, part)
         src = flat(tmp_path / "w" / f"events_{n}.parquet")[0]
-        (land / f"events_{n}.parquet").write_bytes(src.read_bytes())
+        (land / "events.parquet").mkdir(exist_ok=True)
+        (land / "events.parquet" / f"part-{n}.parquet").write_bytes(src.read_bytes())
 
     def run(build, log, cp):
         q = jobs.upsert_stream(build(jobs.table_stream(spark, str(land), "events", 1)), log, cp)
@@ -113,7 +114,7 @@ def test_streams_over_several_files_equal_batch(spark, tmp_path):
         return jobs.windowed_counts(s, "ts", "5 minutes", "1 hour")
 
     add(0, rows[10:])
-    schema = windows(spark.createDataFrame(rows, spark.read.parquet(str(land)).schema)).schema
+    schema = windows(spark.createDataFrame(rows, spark.read.parquet(str(land / "events.parquet")).schema)).schema
     log = UpsertLog(spark, str(tmp_path / "log"), ["window_start"], schema)
     run(windows, log, str(tmp_path / "cp"))
     add(1, rows[5:10])  # late, but inside the allowed hour before the newest event? no: those are dropped
@@ -137,7 +138,8 @@ def test_conversation_state_is_trimmed(spark, tmp_path):
     for n in range(3):
         spark.createDataFrame([(1, n * 10 + i, "user", f"m{n * 10 + i}") for i in range(10)], "conv_id long, turn long, role string, text string") \
             .coalesce(1).write.parquet(str(tmp_path / f"w{n}"))
-        (land / f"conversations_{n}.parquet").write_bytes(flat(tmp_path / f"w{n}")[0].read_bytes())
+        (land / "conversations.parquet").mkdir(exist_ok=True)
+        (land / "conversations.parquet" / f"part-{n}.parquet").write_bytes(flat(tmp_path / f"w{n}")[0].read_bytes())
     s = jobs.conversation_stream(jobs.table_stream(spark, str(land), "conversations", 1), 20)
     log = UpsertLog(spark, str(tmp_path / "log"), ["conv_id"], s.schema)
     jobs.upsert_stream(s, log, str(tmp_path / "cp")).awaitTermination()
