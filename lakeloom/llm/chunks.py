@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from lakeloom.llm.base import order_key
 from lakeloom.session import drop_dir, shared_dir
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 5 << 20
 MOST_CHUNKS = 500_000  # range borders that Spark holds on the driver; beyond, chunks are larger
 MOST_RANGES = 4096
 ASKED = "range int, slice bigint, keys binary, more binary"
@@ -42,6 +42,17 @@ def from_ipc(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all()
 
 
+def planes(rows: np.ndarray) -> bytes:
+    """Rows of k bytes each as k planes of bytes, which Spark's codecs shrink well; the first byte is k."""
+    flat = np.ascontiguousarray(rows).view(np.uint8).reshape(len(rows), -1)
+    return bytes([flat.shape[1]]) + flat.T.tobytes()
+
+
+def rows_of(data: bytes) -> bytes:
+    """Back from planes."""
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1).T).tobytes() if len(data) > 1 else b""
+
+
 def split(keys: np.ndarray, ranges: int) -> list[int]:
     """Borders of the key ranges in sorted keys."""
     steps = [((1 << 64) * r) // ranges for r in range(1, ranges)]
@@ -101,7 +112,7 @@ class Chunks:
         if ordered:
             rows = rows.select("row", order_key("row.doc_id").alias("k"), F.xxhash64("row.text").alias("th")) \
                 .repartitionByRange(self.count, "k", "th").sortWithinPartitions("k", "th").select("row")
-        self.table = self._save(rows.mapInArrow(_store(2 * chunk_bytes), "slice bigint, body binary"), "chunks")
+        self.table = self._save(rows.mapInArrow(_store(chunk_bytes), "slice bigint, body binary"), "chunks")
 
     def _save(self, df: DataFrame, purpose: str) -> str:
         name = f"{purpose}_{uuid.uuid4().hex}"
@@ -131,18 +142,20 @@ class Chunks:
                     if b > a:
                         yield pa.RecordBatch.from_pydict({
                             "range": pa.array([r], pa.int32()), "slice": pa.array([at], pa.int64()),
-                            "keys": [keys[a:b].tobytes()], "more": [b"" if more is None else more[a:b].tobytes()]})
+                            "keys": [planes(np.diff(keys[a:b], prepend=np.uint64(0)))],
+                            "more": [b"" if more is None else planes(more[a:b])]})
 
         def meet(key, table):
             table = table.sort_by("slice")
-            blobs = table.column("keys").to_pylist()
+            blobs = [np.cumsum(np.frombuffer(rows_of(b), np.uint64), dtype=np.uint64).tobytes()
+                     for b in table.column("keys").to_pylist()]
             size = np.array([len(b) // 8 for b in blobs], np.int64)
             got, notes = reply(np.frombuffer(b"".join(blobs), np.uint64), np.repeat(table.column("slice").to_numpy(), size),
-                               b"".join(table.column("more").to_pylist()))
+                               b"".join(map(rows_of, table.column("more").to_pylist())))
             ends = np.cumsum(size)
             return pa.table({"range": table.column("range"), "slice": table.column("slice"),
                              "notes": pa.array([notes] + [[]] * (len(blobs) - 1), pa.list_(pa.int64())),
-                             "reply": [got[a:b].tobytes() for a, b in zip(ends - size, ends)]})
+                             "reply": [planes(got[a:b]) for a, b in zip(ends - size, ends)]})
 
         met = self.with_answers(before).mapInArrow(put, ASKED).groupBy("range").applyInArrow(meet, ANSWERED)
         grouped = met.groupBy("slice").agg(
@@ -181,5 +194,5 @@ def _open(batches, rounds: int) -> Iterator[tuple[int, pa.Table, list[bytes]]]:
     """(slice, its rows, the replies of each round in key order) of each stored chunk."""
     for batch in batches:
         for i in range(batch.num_rows):
-            got = [b"".join(a["reply"] for a in batch.column(f"answers{k}")[i].as_py() or []) for k in range(rounds)]
+            got = [b"".join(rows_of(a["reply"]) for a in batch.column(f"answers{k}")[i].as_py() or []) for k in range(rounds)]
             yield batch.column("slice")[i].as_py(), from_ipc(batch.column("body")[i].as_buffer()), got
