@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+CJK = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}ー]"
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 
 
@@ -13,8 +14,19 @@ def _c(col: str | Column) -> Column:
 
 
 def tokens(col: str | Column) -> Column:
-    """Lower-case words of the whole text."""
-    return F.filter(F.split(F.lower(_c(col)), WORD_BREAK), lambda t: t != "")
+    """Lower-case words of the whole text; runs of Han and kana, which have no blanks, as pairs of characters."""
+    text = F.lower(_c(col))
+    plain = F.filter(F.split(text, WORD_BREAK), lambda t: t != "")
+
+    def pairs(run):
+        return F.when(run.rlike(CJK) & (F.length(run) > 1), F.transform(
+            F.sequence(F.lit(1), F.length(run) - 1), lambda i: F.substring(run, i, F.lit(2)))).otherwise(F.array(run))
+
+    def cut(word):
+        runs = F.regexp_extract_all(word, F.lit(f"{CJK}+|{CJK.replace('[', '[^', 1)}+"), F.lit(0))
+        return F.when(word.rlike(CJK), F.flatten(F.transform(runs, pairs))).otherwise(F.array(word))
+
+    return F.when(text.rlike(CJK), F.flatten(F.transform(plain, cut))).otherwise(plain)
 
 
 def lines(col: str | Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.dates import grain_of
-from lakeloom.functions.text import tokens
+from lakeloom.operators.joins import contains_join
 from lakeloom.sources.inline import values_relation
 
 AGGREGATIONS = ("sum", "avg", "count", "min", "max", "count_distinct")
@@ -122,10 +122,11 @@ def read_model(spec: dict) -> dict[str, Model]:
 def resolve_terms(texts: DataFrame, text_col: str, key: str, synonyms: DataFrame) -> DataFrame:
     """Business words of each text mapped to columns or filters: rows (key, term, target).
 
-    ``synonyms`` has one-word terms and their target.
+    ``synonyms`` has lower-case terms and their target. A term counts wherever the text contains it,
+    as sentences without blanks hold it inside.
     """
-    words = texts.select(key, F.explode_outer(F.array_distinct(tokens(text_col))).alias("term"))
-    return words.join(synonyms, "term").select(key, "term", "target")
+    lower = texts.select(key, F.lower(text_col).alias("_text"))
+    return contains_join(lower, "_text", synonyms, "term").select(key, "term", "target")
 
 
 def infer_model(df: DataFrame, name: str, max_values: int = 20) -> DataFrame:

@@ -271,7 +271,7 @@ CORPUS_SYNONYMS = [("view", "crud_r_flag = 1"), ("click", "crud_u_flag = 1"), ("
 SELECT log_id, t.term, t.target FROM quality_log JOIN (VALUES
   ('view', 'crud_r_flag = 1'), ('click', 'crud_u_flag = 1'), ('error', 'crud_d_flag = 1'),
   ('signup', 'crud_c_flag = 1'), ('purchase', 'file_o_flg = 1')) t(term, target)
-ON list_contains(string_split_regex(lower(query), '[^\\p{L}\\p{N}]+'), t.term)""", "quality_log")
+ON contains(lower(query), t.term)""", "quality_log")
 def _synonym_resolve(f):
     terms = f.spark.createDataFrame(
         [(t.lower(), x) for t, x in USAGE_SYNONYMS + CORPUS_SYNONYMS], "term string, target string")

@@ -15,7 +15,11 @@ from lakeloom.operators.topk import top, top_per_group
 from lakeloom.plans.registry import query
 from lakeloom.session import cut_lineage
 
-WORDS = r"list_filter(string_split_regex(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+CJK = r"[\p{{Han}}\p{{Hiragana}}\p{{Katakana}}ー]"
+PAIRS = (f"flatten(list_transform(regexp_extract_all(w, '{CJK}+|{CJK.replace('[', '[^', 1)}+'), lambda r: CASE WHEN "
+         f"regexp_matches(r, '{CJK}') AND length(r) > 1 THEN list_transform(range(1, length(r)), lambda i: substring(r, i, 2)) ELSE [r] END))")
+WORDS = (r"flatten(list_transform(list_filter(string_split_regex(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> ''), lambda w: "
+         f"CASE WHEN regexp_matches(w, '{CJK}') THEN {PAIRS} ELSE [w] END))")
 
 
 def bm25_sql(docs: str, doc_id: str, text: str, queries: str, query_id: str, query_text: str) -> str:

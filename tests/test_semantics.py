@@ -319,3 +319,16 @@ def test_split_is_disjoint(rows):
     df = rows("k string", *[(str(i),) for i in range(100)])
     out = got(disjoint_split(df, "k", 20).groupBy("split").count())
     assert out == [("train", 80), ("validation", 20)]
+
+
+def test_japanese_words_and_synonyms(rows):
+    from lakeloom.functions.text import tokens
+    from lakeloom.operators.keyword import bm25_topk
+    docs = rows("d long, t string", (1, "エラー処理の実装 in Python"), (2, "plain English text"), (3, "売上の集計"))
+    assert docs.select(tokens("t").alias("w")).first()["w"][:3] == ["エラ", "ラー", "ー処"]
+    hits = bm25_topk(docs, "d", "t", rows("q long, t string", (7, "エラー処理の実装方法")), "q", "t", 2)
+    assert [r["d"] if "d" in r else r["doc_id"] for r in hits.select("d" if "d" in hits.columns else "doc_id").collect()] == [1]
+    terms = rows("term string, target string", ("使用しているジョブ", "crud_r_flag = 1"))
+    q = rows("i int, t string", (1, "T_7を使用しているジョブを教えて"), (2, "なし"))
+    from lakeloom.operators.semantic import resolve_terms
+    assert got(resolve_terms(q, "t", "i", terms)) == [(1, "使用しているジョブ", "crud_r_flag = 1")]
