@@ -8,6 +8,7 @@ through the merges, each distinct piece once while a worker remembers it.
 from __future__ import annotations
 
 import json
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from tokenizers import Tokenizer
 
 from lakeloom.llm.arrays import slices
 from lakeloom.llm.base import documents, query, texts
-from lakeloom.llm.tokens import LONGEST_MEMO, MEMO_SIZE, byte_letters, tokenizer_path
+from lakeloom.llm.tokens import LONGEST_MEMO, MEMO_SIZE, byte_letters, latin, tokenizer_path
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
@@ -46,8 +47,8 @@ class Counter(dict):
     def __init__(self, path: str, proven: frozenset[str]):
         super().__init__()
         self.library, self.proven = Tokenizer.from_file(path), proven
-        letters = {b: c for c, b in byte_letters().items()}
-        self.whole = {"".join(letters[b] for b in w.encode()) for w in proven}
+        self.letters = {b: c for c, b in byte_letters().items()}
+        self.whole = {"".join(self.letters[b] for b in w.encode()) for w in proven}
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self._restart()
 
@@ -57,7 +58,13 @@ class Counter(dict):
         self[""] = 0
 
     def __missing__(self, piece: str) -> int:
-        if any(s in piece for s in self.special):  # the library's own handling of special strings
+        low = piece.lower()
+        if low.isalpha() and latin(low) and is_normalized("NFC", piece):  # letters only: one pre-token
+            plain = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
+            n = 1 if low in self.proven else len(self.library.model.tokenize(plain))
+        elif len(piece) > 1 and piece[-1] in ".," and piece[-1] in self.proven and low[-2:-1].isalpha() and latin(piece):
+            n = self[piece[:-1]] + 1  # a letter and a full stop or comma never share a pre-token
+        elif any(s in piece for s in self.special):  # the library's own handling of special strings
             n = len(self.library.encode(piece, add_special_tokens=False).ids)
         else:
             text = self.library.normalizer.normalize_str(piece)
