@@ -2,8 +2,9 @@
 
 The token weight of each (source, language, topic) cell is raked to the three target marginals in turn.
 A document is then sampled with a probability in proportion to its cell's calibrated over its present
-share; the most wanted cell keeps all its documents. Whether a document is drawn depends on its id,
-the seed and that probability alone.
+share. The rate is the one at which the most wanted cell keeps all its documents; where that would keep
+less than BUDGET of the tokens, it is the rate that keeps BUDGET, and cells too scarce for it keep all
+they have. Whether a document is drawn depends on its id, the seed and that probability alone.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ SOURCES = 0.9             # a number: present tokens to this power
 LANGUAGES = {"en": 0.66, "de": 0.13, "fr": 0.12, "es": 0.09}
 TOPICS = {"short": 0.01, "plain": 0.54, "long": 0.45}
 SHORT, LONG = 400, 6000   # bytes
+BUDGET = 0.25             # part of the tokens that is kept at least
 MOST_CELLS = 100_000      # cells that are broadcast; more are joined by a shuffle
 
 
@@ -43,16 +45,22 @@ def _axes(docs: DataFrame, topic: Column | None) -> DataFrame:
 
 
 def _goals(cells: DataFrame, axis: str, target: dict | float) -> DataFrame:
-    """axis, ``goal_<axis>``: target shares of the values present (sum 1); a value not named gets the least named."""
+    """axis, ``goal_<axis>``: target shares of the values present (sum 1).
+
+    A value that a dict does not name gets its present share, and the named ones share the rest.
+    """
     present = cells.groupBy(axis).agg(F.sum("tokens").alias("t"))
     if isinstance(target, dict):
         known = F.from_json(F.lit(json.dumps(target)), "map<string, double>")
-        want = F.coalesce(F.element_at(known, F.col(axis)), F.lit(float(min(target.values()))))
+        want = F.element_at(known, F.col(axis))
     else:
         want = F.pow(F.col("t").cast("double"), F.lit(float(target)))
-    present = present.select(axis, want.alias("want"))
-    whole = present.agg(F.sum("want").alias("whole"))
-    return present.crossJoin(F.broadcast(whole)).select(axis, (F.col("want") / F.col("whole")).alias(f"goal_{axis}"))  # one row
+    present = present.select(axis, "t", want.alias("want"))
+    whole = present.agg(F.sum("want").alias("whole"), F.sum("t").cast("double").alias("all"),
+                        F.coalesce(F.sum(F.when(F.col("want").isNull(), F.col("t"))), F.lit(0)).alias("other"))
+    goal = F.when(F.col("want").isNull(), F.col("t") / F.col("all")) \
+        .otherwise(F.col("want") / F.col("whole") * (1 - F.col("other") / F.col("all")))
+    return present.crossJoin(F.broadcast(whole)).select(axis, goal.alias(f"goal_{axis}"))  # one row
 
 
 def rake(cells: DataFrame, targets: dict[str, dict | float], rounds: int = ROUNDS) -> DataFrame:
@@ -73,21 +81,42 @@ def rake(cells: DataFrame, targets: dict[str, dict | float], rounds: int = ROUND
     return state
 
 
+def least_ratio(cells: DataFrame, most: float, budget: float) -> float:
+    """The ratio w / share from which on a cell keeps all: ``most``, or less where that keeps under ``budget`` of the tokens.
+
+    Fixed point of rate = (budget - shares of the cells that keep all) / weights of the others. The rate
+    grows from step to step and with it the cells that keep all, so the steps end; the driver holds three numbers.
+    """
+    if 1 / most >= budget:
+        return most
+    ratio, full = 1 / budget, -1
+    while True:
+        scarce = F.col("ratio") >= ratio
+        share, w, n = cells.agg(F.sum(F.when(scarce, F.col("share")).otherwise(0.0)),
+                                F.sum(F.when(scarce, 0.0).otherwise(F.col("w"))), F.count_if(scarce)).first()
+        if n == full or w <= 0 or share >= budget:
+            return ratio
+        ratio, full = min(ratio, w / (budget - share)), n
+
+
 def mix(docs: DataFrame, sources: dict | float = SOURCES, languages: dict | float = LANGUAGES,
-        topics: dict | float = TOPICS, topic: Column | None = None, rounds: int = ROUNDS, seed: str = SEED) -> DataFrame:
+        topics: dict | float = TOPICS, topic: Column | None = None, rounds: int = ROUNDS, seed: str = SEED,
+        budget: float = BUDGET) -> DataFrame:
     """Every row as struct ``row`` with its axes, probability and verdict ``kept``.
 
-    A target is a dict of shares (brought to sum 1 over the values present) or a power of the present
-    tokens. A null source, language or topic is the value ''; a null text has 4 tokens; a null id draws
+    A target is a dict of shares (brought to sum 1 over the values present; values it does not name keep
+    their present share) or a power of the present tokens. The targets are met in full unless cells are so
+    scarce that less than ``budget`` of the tokens would be kept; these then keep all. A null source, language or topic is the value ''; a null text has 4 tokens; a null id draws
     as the id ''. Rows that share an id are drawn alike if their cells are. An empty table gives no rows.
     """
     rows = _axes(docs, topic)
     cells = staged(rows.groupBy(*AXES).agg(F.sum("tokens").alias("tokens")), "cells")
     fitted = rake(cells, {"source": sources, "lang": languages, "topic": topics}, rounds)
-    fitted = staged(fitted.select(*AXES, (F.col("w") / F.col("share")).alias("ratio")), "cells")
-    most = fitted.agg(F.max("ratio").alias("most"))
-    wanted = fitted.crossJoin(F.broadcast(most)).select(*AXES, (F.col("ratio") / F.col("most")).alias("probability"))  # one row
-    if fitted.count() <= MOST_CELLS:
+    fitted = staged(fitted.select(*AXES, "w", "share", (F.col("w") / F.col("share")).alias("ratio")), "cells")
+    n, most = fitted.agg(F.count(F.lit(1)), F.max("ratio")).first()
+    least = least_ratio(fitted, most, budget) if n else 1.0
+    wanted = fitted.select(*AXES, F.least(F.lit(1.0), F.col("ratio") / F.lit(least)).alias("probability"))
+    if n <= MOST_CELLS:
         wanted = F.broadcast(wanted)
     draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("row.doc_id").cast("string"), F.lit("")))), 1, 12),
                   16, 10).cast("double") / float(1 << 48)
@@ -100,7 +129,7 @@ def _case(axis: str, target: dict) -> str:
 
 
 def oracle(sources=SOURCES, languages=LANGUAGES, topics=TOPICS, rounds=ROUNDS, seed=SEED) -> str:
-    """The same fitting and draw in DuckDB SQL."""
+    """The same fitting and draw in DuckDB SQL, for tables where all values are named and no cell is too scarce for BUDGET."""
     want = {a: _case(a, t) if isinstance(t, dict) else f"pow(sum(tokens)::DOUBLE, {t!r})"
             for a, t in zip(AXES, (sources, languages, topics))}
     goals = ",\n".join(f"g_{a} AS (SELECT {a}, want / sum(want) OVER () AS goal_{a} FROM "

@@ -342,6 +342,21 @@ def test_mixing_meets_targets(docs):
     assert df.agg(F.max("probability")).first()[0] == pytest.approx(1)
 
 
+@pytest.mark.parametrize("rare", [[("it", "word " * 240)], [(None, "word " * 240)], [("en", "ab")],
+                                  [("it", "ab"), (None, "ab"), ("en", "ab"), ("es", "word " * 2000)]])
+def test_rare_values_do_not_set_the_rate(spark, rare):
+    langs = ["en"] * 6 + ["de", "de", "fr", "es"]
+    rows = [(i, "word " * (100 + i % 900 if i % 2 else 1300), langs[i % 10], f"s{i % 3}") for i in range(3000)]
+    rows += [(9000 + i, t, g, "s0") for i, (g, t) in enumerate(rare)]
+    df = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).cache()
+    whole, kept = df.agg(F.sum("tokens"), F.sum(F.col("tokens") * F.col("probability"))).first()
+    assert kept / whole > mixing.BUDGET - 1e-6
+    assert df.where("kept").count() > 0.2 * len(rows)
+    assert 0 < df.agg(F.min("probability")).first()[0] and df.agg(F.max("probability")).first()[0] == pytest.approx(1)
+    got = {r.lang: r.t / kept for r in df.groupBy("lang").agg(F.sum(F.col("tokens") * F.col("probability")).alias("t")).collect()}
+    assert all(got[g] == pytest.approx(mixing.LANGUAGES[g], abs=0.02) for g in mixing.LANGUAGES)
+
+
 # --- odd input for all ----------------------------------------------------------------------------------
 
 def run_all(spark, df, labels):
