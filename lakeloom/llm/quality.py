@@ -1,8 +1,10 @@
 """Quality rules: log-likelihood ratio of hashed n-grams between trusted texts and the whole corpus.
 
 Words and word pairs are hashed into a fixed number of bins. One multinomial is counted over the
-trusted documents, one over all documents; a text scores the mean log ratio of its n-grams. A second
-pass scores every document against the finished table and compares with a fixed threshold.
+trusted documents, one over all documents; a text scores the mean log ratio of its n-grams. Few trusted
+texts miss many n-grams of good ones, so the trusted texts are scored as well, each without its own
+counts, and the ratios are scaled down until at most MOST_LOST of them are below the threshold. A last
+pass scores every document against the finished table.
 """
 
 from __future__ import annotations
@@ -20,10 +22,12 @@ from lakeloom.llm.base import documents, query
 
 BIN_BITS = 14
 SMOOTHING = 1.0            # added to every bin of the raw counts
-PRIOR = 16                 # pseudo-counts a bin, spread like the raw corpus, added to the trusted counts
+PRIOR = 0.1                # pseudo-counts as a share of the trusted counts, spread like the raw corpus
 THRESHOLD = -0.06          # mean log ratio below which a text is rejected
 MOST_TRUSTED = 200_000     # trusted ids used at most: those with the smallest hash
 FEWEST_WORDS = 20
+MOST_LOST = 0.01           # share of left-out trusted texts that may score below the threshold
+FEWEST_TRUSTED = 20        # trusted texts of FEWEST_WORDS below which no text is judged by its score
 MOST_REPEATED = 30         # percent of words in repeated windows
 REPEAT_WINDOW = 8
 
@@ -62,7 +66,11 @@ def trusted_ids(labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame, most: int = MOST_TRUSTED, prior: float = PRIOR) -> np.ndarray:
-    """Log ratio of trusted to raw probability of each bin (2**BIN_BITS numbers), counted over all documents."""
+    """Scaled log ratio of trusted to raw probability of each bin (2**BIN_BITS numbers), counted over all documents.
+
+    The scale brings the MOST_LOST quantile of the left-out scores of trusted texts up to THRESHOLD; it
+    is 1 where that is not below. With less than FEWEST_TRUSTED trusted texts all ratios are 0.
+    """
     good = trusted_ids(labels, most).withColumn("trusted", F.lit(True))
     both = docs.select("doc_id", "text").join(F.broadcast(good), "doc_id", "left").select("text", "trusted")
     counts = both.mapInArrow(_count, "bin bigint, raw bigint, good bigint") \
@@ -73,8 +81,34 @@ def log_ratios(docs: DataFrame, labels: DataFrame, most: int = MOST_TRUSTED, pri
     if not trusted.sum():
         return np.zeros(1 << BIN_BITS)  # nothing is trusted: no evidence against any text
     q = (raw + SMOOTHING) / (raw + SMOOTHING).sum()
-    weight = prior * len(q)  # few trusted texts say little against a text of their kind
-    return np.log((trusted + weight * q) / (trusted.sum() + weight)) - np.log(q)
+    left_out = both.where("trusted").select("text").mapInArrow(_left_out(docs, trusted, q, prior), "score double")
+    n, low = left_out.agg(F.count("score"), F.percentile_approx("score", MOST_LOST, 100_000)).first()
+    if n < FEWEST_TRUSTED:
+        return np.zeros(1 << BIN_BITS)
+    ratios = np.log((trusted / trusted.sum() + prior * q) / (1 + prior)) - np.log(q)
+    return ratios * min(1.0, THRESHOLD / min(low, THRESHOLD))
+
+
+def _left_out(docs: DataFrame, trusted: np.ndarray, q: np.ndarray, prior: float):
+    """Scores of trusted texts of FEWEST_WORDS or more, each without its own counts."""
+    table = docs.sparkSession.sparkContext.broadcast((trusted, q))  # twice 2**BIN_BITS doubles
+
+    def run(batches):
+        trusted, q = table.value
+        whole = trusted.sum()
+        for batch in batches:
+            for _, strings in arrays.slices(batch.column("text")):
+                _, words = arrays.words_of(strings)
+                bins, _, text = _grams(words)
+                grams = np.bincount(text, minlength=len(strings))
+                _, at, times = np.unique((text << BIN_BITS) | bins, return_inverse=True, return_counts=True)
+                others = np.maximum(whole - grams, 1)[text]
+                p = ((trusted[bins] - times[at]) / others + prior * q[bins]) / (1 + prior)
+                total = np.bincount(text, weights=np.log(p) - np.log(q[bins]), minlength=len(strings))
+                some = (words.per_text() >= FEWEST_WORDS) & (grams < whole)
+                yield pa.RecordBatch.from_pydict({"score": total[some] / grams[some]})
+
+    return run
 
 
 def measures(strings: pa.Array, ratios: np.ndarray) -> dict[str, np.ndarray]:

@@ -116,6 +116,28 @@ def test_quality_counts_and_verdict(spark, docs):
     assert all(got[d].kept for d, _ in good) and not any(got[d].kept for d, _ in bad)
 
 
+@pytest.mark.parametrize("n", [60, 300, 1500])
+def test_quality_verdict_does_not_depend_on_size(spark, n):
+    rng = np.random.default_rng(n)
+
+    def prose(kind):
+        other = rng.random(60) < (0.35 if kind == "junk" else 0.03)
+        return " ".join(f"{'junk' if o else 'word'}{i}" for o, i in zip(other, rng.zipf(1.4, 60) % 400))
+
+    rows = [(i, prose("junk" if i % 4 == 0 else "good")) for i in range(2 * n)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(n)], "doc_id bigint, quality int, toxic int")
+    got = quality.scored(df, quality.log_ratios(df, labels)).where("not base_failed").select("row.doc_id", "kept").collect()
+    good, bad = ([r.kept for r in got if (r.doc_id % 4 == 0) == junk and r.doc_id >= n] for junk in (False, True))
+    assert np.mean(good) > 0.93 and np.mean(bad) < 0.1
+
+
+def test_too_few_trusted_texts_judge_nothing(spark):
+    df = spark.createDataFrame([(i, f"own{i} " + " ".join(f"v{(i * j) % 91}" for j in range(40))) for i in range(60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id bigint, quality int, toxic int")
+    assert not quality.log_ratios(df, labels).any()
+
+
 # --- 5, 6 tokens ----------------------------------------------------------------------------------------
 
 PARTS = ["a", "the", " ", "  ", "\n", "\t", "'s", "don't", ".", ",", "é", "1", "23", "<|endoftext|>", " ", "日本", "!!", "\r\n",
