@@ -60,8 +60,8 @@ def _count(batches):
 
 
 def trusted_ids(labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
-    """Ids labelled good, each once; beyond ``most``, those with the smallest hash."""
-    ids = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    """Ids labelled good and not toxic (null counts as not), each once; beyond ``most``, those with the smallest hash."""
+    ids = labels.where("quality = 1 and coalesce(toxic, 0) <> 1 and doc_id is not null").select("doc_id").distinct()
     return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 

@@ -132,6 +132,11 @@ def test_quality_verdict_does_not_depend_on_size(spark, n):
     assert np.mean(good) > 0.93 and np.mean(bad) < 0.1
 
 
+def test_toxic_texts_are_not_trusted(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 1), (3, 1, None), (4, 0, 0), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
+    assert sorted(r.doc_id for r in quality.trusted_ids(labels).collect()) == [1, 3]
+
+
 def test_too_few_trusted_texts_judge_nothing(spark):
     df = spark.createDataFrame([(i, f"own{i} " + " ".join(f"v{(i * j) % 91}" for j in range(40))) for i in range(60)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id bigint, quality int, toxic int")
