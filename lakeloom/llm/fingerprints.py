@@ -3,7 +3,8 @@
 A sketch keeps every distinct shingle hash below a fixed share of the hash space, so sketches of any
 two texts can be merged by union and compared by intersection whatever their lengths. Texts of few
 shingles keep all of them (share 1); a pair is compared at the smaller of its two shares, which is
-the usual down-sampling of such sketches, so a short text never has an empty sketch.
+the usual down-sampling of such sketches, so a short text never has an empty sketch. What part of a short
+text is inside a long one is counted on all hashes of both where the long text is at hand.
 """
 
 from __future__ import annotations
@@ -50,10 +51,12 @@ def fingerprint(name: str) -> Column:
     return F.concat(F.when(F.col(f"{name}_full"), "F").otherwise("S"), F.array_join(digits, ""))
 
 
-def overlap(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+def overlap(df: DataFrame, a: str, b: str, name: str, b_text: str | None = None) -> DataFrame:
     """Adds ``near_<name>`` (shared part of the union) and ``inside_<name>`` (part of ``a`` found in ``b``).
 
-    Two texts without words are alike (1); a text without words is inside any other.
+    Two texts without words are alike (1); a text without words is inside any other. With ``b_text``, the
+    column of the text of ``b``, ``inside_<name>`` is exact where ``a`` keeps all its hashes; else it is
+    null where none of these is low enough to be looked for in a scaled ``b``.
     """
     both = F.col(f"{a}_full") & F.col(f"{b}_full")
     x, y = (f"{name}_x", f"{name}_y")
@@ -61,9 +64,13 @@ def overlap(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
            .withColumn(y, F.when(F.col(f"{b}_full") & ~both, below(F.col(b))).otherwise(F.col(b)))
     df = df.withColumn(f"{name}_i", F.size(F.array_intersect(x, y)))
     shared, union = F.col(f"{name}_i"), F.size(x) + F.size(y) - F.col(f"{name}_i")
-    return df.withColumn(f"near_{name}", F.when(union == 0, 1.0).otherwise(shared / union)) \
-             .withColumn(f"inside_{name}", F.when(F.size(x) == 0, 1.0).otherwise(shared / F.size(x))) \
-             .drop(x, y, f"{name}_i")
+    inside = F.when(F.col(f"{a}_full") & (F.size(a) == 0), 1.0)
+    if b_text is not None:
+        inside = inside.when(F.col(f"{a}_full") & ~both,
+                             F.size(F.array_intersect(F.col(a), shingle_hashes(F.col(b_text)))) / F.size(a))
+    inside = inside.when(F.size(x) > 0, shared / F.size(x))
+    return df.withColumn(f"near_{name}", F.when(union > 0, shared / union).when(both, 1.0)) \
+             .withColumn(f"inside_{name}", inside).drop(x, y, f"{name}_i")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -102,8 +109,8 @@ def op1_fingerprints(spark, folder):
     df = df.withColumn("edited", F.concat(
         F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - cut),
         F.substring(F.col("next_text"), F.lit(1), cut)))
-    df = with_sketch(df.drop("next_text", "text"), "edited", "e")
-    df = overlap(overlap(df, "s", "e", "edited"), "s", "n", "next")
+    df = with_sketch(df.drop("text"), "edited", "e")
+    df = overlap(overlap(df, "s", "e", "edited", "edited"), "s", "n", "next", "next_text")
     return df.select("doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"),
                      fingerprint("s").alias("fingerprint"), fingerprint("e").alias("edited_fingerprint"),
                      "near_edited", "near_next", "inside_edited", "inside_next")

@@ -79,6 +79,23 @@ def test_fingerprint_scaled(spark):
     assert 350 < len(r.s) < 650 and not r.s_full and r.inside_x > 0.97
 
 
+def test_short_text_inside_and_outside_a_long_one(spark, docs, tmp_path):
+    rows, want = [], {}
+    for i in range(60):
+        long = [f"l{i}w{j}" for j in range(700)]
+        short = [f"s{i}w{j}" for j in range(14)] if i % 3 == 0 else long[5 * i:5 * i + 14]
+        if i % 3 == 1:
+            short = short[:9] + [f"s{i}w{j}" for j in range(5)]  # five of ten shingles
+        rows += [(2 * i, " ".join(short)), (2 * i + 1, " ".join(long))]
+        want[2 * i] = (0.0, 0.5, 1.0)[i % 3]
+    docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.inside_next for r in fingerprints.op1_fingerprints(spark, str(tmp_path)).collect()}
+    assert {d: got[d] for d in want} == want
+    pairs = spark.createDataFrame([(a[1], b[1]) for a, b in zip(rows[::6], rows[1::6])], "a string, b string")
+    pairs = fingerprints.with_sketch(fingerprints.with_sketch(pairs, "a", "x"), "b", "y")
+    assert {r.inside_p for r in fingerprints.overlap(pairs, "x", "y", "p").collect()} == {0.0, None}  # sketches alone cannot tell
+
+
 # --- 2 sharding -----------------------------------------------------------------------------------------
 
 def test_sharding(spark, docs):
