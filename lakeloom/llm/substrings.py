@@ -2,9 +2,11 @@
 
 The corpus in doc_id order is its own reference, cut into blocks (chunks). Every window of LENGTH words
 has one anchor, the smallest hash of its inner ANCHOR-word runs; the blocks' anchors are the index,
-and only windows whose anchor occurs in another block are looked up there by their full hash. A
-document is then parsed greedily: as long as successive windows occur earlier in the same block, the
-factor grows; where the block changes, a new factor begins. Every factor has at least LENGTH words,
+and only windows whose anchor occurs in another block are looked up there by their full hash. The reply
+is the earliest place of the window: its block and its word there. A document is then parsed: as long as
+the places of successive windows are successive words of one block, the factor grows; else a new factor
+begins. So a factor is a phrase of its block, up to collisions of the 64-bit hashes (words of other
+blocks are not at hand), but not always the longest one. Every factor has at least LENGTH words,
 and both its first and its last window are matches by themselves, so factors end exactly where the
 copied words end. The words of all factors are the duplicate spans.
 """
@@ -60,43 +62,46 @@ def _elsewhere(keys: np.ndarray, slices: np.ndarray, _) -> np.ndarray:
     return (times[at] > 1).astype(np.uint8), []
 
 
-def _earliest(keys: np.ndarray, slices: np.ndarray, _) -> np.ndarray:
-    """The first block that holds each key."""
+def _earliest(keys: np.ndarray, slices: np.ndarray, places: bytes) -> np.ndarray:
+    """The first block that holds each key, and the place there."""
     distinct, at = np.unique(keys, return_inverse=True)
-    first = np.full(len(distinct), NOWHERE)
-    np.minimum.at(first, at, slices)
-    return first[at], []
+    order = np.lexsort((slices, at))  # a block sends each key once
+    first = order[np.searchsorted(at[order], np.arange(len(distinct)))]
+    return np.stack([slices[first][at], np.frombuffer(places, np.int64)[first][at]], axis=1), []
 
 
-def _shared_windows(words: Words, replies: bytes) -> np.ndarray:
-    """Distinct sorted keys of the windows whose anchor occurs in another block."""
+def _shared_windows(words: Words, replies: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct sorted keys of the windows whose anchor occurs in another block, and the first place of each here."""
     anchors, at = np.unique(words.anchors, return_inverse=True)
     found = np.frombuffer(replies, np.uint8).astype(bool)
     assert len(found) == len(anchors)
-    return np.unique(words.keys[found[at]])
+    some = found[at]
+    keys, first = np.unique(words.keys[some], return_index=True)
+    return keys, words.starts[some][first].astype(np.int64)
 
 
-def _factors(words: Words, block: np.ndarray) -> list[list[dict]]:
-    """Factors of each text: block[w] is the source of window w or NOWHERE."""
+def _factors(words: Words, block: np.ndarray, position: np.ndarray) -> list[list[dict]]:
+    """Factors of each text: block[w] is the source of window w or NOWHERE, position[w] its first word there."""
     out: list[list[dict]] = [[] for _ in range(len(words.first) - 1)]
     match = np.flatnonzero(block != NOWHERE)
     if not len(match):
         return out
-    start, source = words.starts[match], block[match]
+    start, source, place = words.starts[match], block[match], position[match]
     new = np.ones(len(match), bool)
-    new[1:] = (np.diff(start) != 1) | (np.diff(source) != 0)
+    new[1:] = (np.diff(start) != 1) | (np.diff(source) != 0) | (np.diff(place) != 1)
     begin = np.flatnonzero(new)
     end = np.append(begin[1:], len(match)) - 1
     text = np.searchsorted(words.first, start[begin], "right") - 1
     length = start[end] - start[begin]
-    for t, a, n, b in zip(text.tolist(), (start[begin] - words.first[text]).tolist(), length.tolist(), source[begin].tolist()):
-        out[t].append({"start": a, "length": n, "block": b})
+    for t, a, n, b, p in zip(text.tolist(), (start[begin] - words.first[text]).tolist(), length.tolist(), source[begin].tolist(),
+                             place[begin].tolist()):
+        out[t].append({"start": a, "length": n, "block": b, "position": p})
     return out
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
           chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, Chunks]:
-    """(rows, chunks): ``row`` with its text cut, n_words, n_removed, factors (start, length in words, block).
+    """(rows, chunks): ``row`` with its text cut, n_words, n_removed, factors (start, length in words, block, first word there).
 
     Windows are judged on the input. A text without duplicate words stays byte for byte; in another,
     each removed word goes with the white space behind it. A null text has no words and stays null. Of
@@ -109,21 +114,22 @@ def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
         return np.unique(Words(table, length, anchor).anchors), None
 
     def windows(at, table, replies):
-        return _shared_windows(Words(table, length, anchor), replies[0]), None
+        return _shared_windows(Words(table, length, anchor), replies[0])
 
     found = chunks.ask([], anchors, _elsewhere, "anchors")
     first = chunks.ask([found], windows, _earliest, "windows")
     kind = T.StructType([T.StructField("row", chunks.row_type), T.StructField("n_words", T.LongType()),
                          T.StructField("n_removed", T.LongType()),
-                         T.StructField("factors", T.ArrayType(T.StructType.fromDDL("start bigint, length bigint, block bigint")))])
+                         T.StructField("factors", T.ArrayType(T.StructType.fromDDL("start bigint, length bigint, block bigint, position bigint")))])
 
     def finish(at, table, replies):
         words = Words(table, length, anchor)
-        shared = _shared_windows(words, replies[0])
-        source = np.frombuffer(replies[1], np.int64)
+        shared, _ = _shared_windows(words, replies[0])
+        source, there = np.frombuffer(replies[1], np.int64).reshape(-1, 2).T
         assert len(source) == len(shared)
         block = np.full(len(words.keys), NOWHERE)
-        _, once = np.unique(words.keys, return_index=True)
+        _, once, same = np.unique(words.keys, return_index=True, return_inverse=True)
+        position = words.starts[once][same].astype(np.int64) if len(once) else np.zeros(0, np.int64)
         again = np.ones(len(words.keys), bool)
         again[once] = False
         block[again] = at  # it begins earlier in this very block
@@ -131,10 +137,11 @@ def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
             place = np.minimum(np.searchsorted(shared, words.keys), len(shared) - 1)
             earlier = (shared[place] == words.keys) & (source[place] < at)
             block[earlier] = source[place][earlier]
+            position[earlier] = there[place][earlier]
         gone = arrays.covered(words.starts[block != NOWHERE], length, words.total)
         n_words = np.diff(words.first)
         n_removed = arrays.sums(gone.astype(np.int64), words.first)
-        factors = _factors(words, block)
+        factors = _factors(words, block, position)
         for f in factors:
             for x in f:
                 x["length"] += length
@@ -152,7 +159,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
             yield pa.RecordBatch.from_arrays(
                 [rows.to_struct_array().combine_chunks() if rows.num_rows else pa.array([], rows.to_struct_array().type),
                  pa.array(n_words[i:i + n]), pa.array(n_removed[i:i + n]),
-                 pa.array(factors[i:i + n], pa.list_(pa.struct([(x, pa.int64()) for x in ("start", "length", "block")])))],
+                 pa.array(factors[i:i + n], pa.list_(pa.struct([(x, pa.int64()) for x in ("start", "length", "block", "position")])))],
                 ["row", "n_words", "n_removed", "factors"])
 
     return chunks.apply([found, first], finish, kind), chunks

@@ -374,6 +374,22 @@ def test_substrings(docs, chunk_bytes):
         assert all(f.length >= 20 for f in r.factors)
 
 
+def test_factors_are_phrases_of_their_block(docs):
+    x = [f"x{i}" for i in range(60)]
+    rows = [(1, " ".join(x[:30])), (2, " ".join(x[10:60])), (3, " ".join(x)), (4, " ".join(x[5:58]))]
+    for chunk_bytes in (1 << 20, 300):
+        df, chunks = substrings.dedup(docs(rows), chunk_bytes=chunk_bytes)
+        got = {r.doc_id: r for r in df.select("row.doc_id", "factors").collect()}
+        stored = {r.slice: r.body for r in chunks.spark.table(chunks.table).collect()}
+        words = {k: " ".join(t or "" for t in pa.ipc.open_stream(bytes(b)).read_all()
+                             .column("text").to_pylist()).split() for k, b in stored.items()}
+        chunks.close()
+        for d, t in rows:
+            for f in got[d].factors:
+                assert words[f.block][f.position:f.position + f.length] == t.split()[f.start:f.start + f.length]
+        assert [(f.start, f.length) for f in got[3].factors] == [(0, 30), (11, 49)]
+
+
 # --- 9 mixing -------------------------------------------------------------------------------------------
 
 def test_mixing_meets_targets(docs):
