@@ -104,6 +104,7 @@ class Chunks:
         size = docs.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 1
         self.count = min(MOST_CHUNKS, -(-size // chunk_bytes))
         chunk_bytes = max(chunk_bytes, -(-size // self.count))
+        self.buckets = min(self.count, int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))  # chunks may share one
         self.ranges = max(8, min(MOST_RANGES, self.count))
         self.folders: list[str] = []
         self.tables: list[str] = []
@@ -116,7 +117,7 @@ class Chunks:
 
     def _save(self, df: DataFrame, purpose: str) -> str:
         name = f"{purpose}_{uuid.uuid4().hex}"
-        df.write.bucketBy(self.count, "slice").option("path", self._folder(purpose)).option("compression", "zstd") \
+        df.write.bucketBy(self.buckets, "slice").option("path", self._folder(purpose)).option("compression", "zstd") \
             .option("parquet.block.size", 32 << 20).saveAsTable(name)
         self.tables.append(name)
         return name

@@ -390,6 +390,19 @@ def test_factors_are_phrases_of_their_block(docs):
         assert [(f.start, f.length) for f in got[3].factors] == [(0, 30), (11, 49)]
 
 
+def test_more_chunks_than_buckets(spark, docs):
+    rows, limit = small(40), "spark.sql.sources.bucketing.maxBuckets"
+    spark.conf.set(limit, "3")
+    try:
+        df, chunks = substrings.dedup(docs(rows), chunk_bytes=700)
+        got, want = {r.row.doc_id: r for r in df.collect()}, brute_substrings(rows)
+        assert chunks.count > 3 == chunks.buckets
+        assert all((got[d].n_words, got[d].n_removed) == want[d][:2] for d, _ in rows)
+        chunks.close()
+    finally:
+        spark.conf.unset(limit)
+
+
 # --- 9 mixing -------------------------------------------------------------------------------------------
 
 def test_mixing_meets_targets(docs):
