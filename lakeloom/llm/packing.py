@@ -3,7 +3,8 @@
 With N[g] open sequences that have g free places, a piece goes into the open sequence for which the
 sum of N[g]**2 becomes smallest; ties go to the smallest gap, and a new one is opened only where the
 piece fits in none. Pieces are dealt into groups of bounded bytes by a hash, and every group is
-packed on its own, long pieces first; what a group leaves open is a few sequences among thousands.
+packed on its own, long pieces first (the hash covers the ids, and copies of a row are told apart by
+where they are met, so that rows without an id or with the same one do not gather); what a group leaves open is a few sequences among thousands.
 (Offered in random order and free to open sequences at any time, the same rule needs 1.2 % more.)
 """
 
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,19 +57,32 @@ def cut(ids: bytes, capacity: int = CAPACITY) -> list[tuple[int, bytes]]:
     return [(a, ids[4 * a:4 * b]) for a, b in zip(begin, [*begin[1:], n])]
 
 
+def spread(doc_ids: list, strings: list, begin: int) -> list[int]:
+    """0 for the first of equal rows, numbers from ``begin`` on for the others."""
+    seen, out = set(), []
+    for i, row in enumerate(zip(doc_ids, strings)):
+        out.append(begin + i if row in seen else 0)
+        seen.add(row)
+    return out
+
+
 def to_pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
+    """The pieces, with ``copy``: 0, or for a repeated row a number of its own."""
     def run(batches):
+        met = 1 + (TaskContext.get().partitionId() << 40)
         for batch in batches:
             for i, strings in slices(batch.column("text")):
-                doc_ids = batch.column("doc_id").slice(i, len(strings)).to_pylist()
-                rows = [(d, k, a, len(x) // 4, x) for d, ids in zip(
-                    doc_ids, tokens.encoded(strings.to_pylist(), path, end_id))
+                doc_ids, strings = batch.column("doc_id").slice(i, len(strings)).to_pylist(), strings.to_pylist()
+                copies = spread(doc_ids, strings, met)
+                met += len(strings)
+                rows = [(d, k, a, len(x) // 4, x, c) for d, c, ids in zip(
+                    doc_ids, copies, tokens.encoded(strings, path, end_id))
                     for k, (a, x) in enumerate(cut(ids, capacity))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
-                    ["doc_id", "piece", "start", "length", "ids"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()))],
+                    ["doc_id", "piece", "start", "length", "ids", "copy"])
 
-    return texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, PIECES)
+    return texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, PIECES + ", copy bigint")
 
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = tokens.END_ID,
@@ -90,7 +105,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
             .append_column("offset", pa.array(offset))
 
     pieces = to_pieces(docs, path or tokens.tokenizer_path(), capacity, end_id)
-    pieces = pieces.withColumn("h", F.xxhash64("doc_id", "piece")).withColumn("g", F.pmod("h", F.lit(groups)))
+    pieces = pieces.withColumn("h", F.xxhash64("doc_id", "piece", "ids", "copy")).withColumn("g", F.pmod("h", F.lit(groups))).drop("copy")
     return pieces.groupBy("g").applyInArrow(run, PACKED)
 
 

@@ -261,6 +261,14 @@ def test_pack(docs):
     assert packing.cut(bytes(4 * 512), 256)[1][0] == 256
 
 
+def test_rows_without_an_own_id_do_not_gather(docs):
+    rows = [(None, f"text number {i} of many") for i in range(300)] + [(7, f"other text {i} of many") for i in range(300)] \
+        + [(8, "the same row again")] * 300
+    got = packing.pack(docs(rows), capacity=256, group_bytes=2000).collect()
+    groups = Counter(r.sequence_id >> 40 for r in got)
+    assert len(got) == 900 and len(groups) > 5 and max(groups.values()) < 2.5 * 900 / len(groups)
+
+
 # --- 7 language model -----------------------------------------------------------------------------------
 
 def test_language_model(docs):
