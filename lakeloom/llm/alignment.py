@@ -38,6 +38,7 @@ RANKS = "byte_bpe_50k.tiktoken"  # the vocabulary of BYTE_BPE as ranks
 PIECES = "piece_bpe_32k.model"
 WORK = 1 << 22                   # entries of a product that are expanded at a time
 CHUNK_TEXT = 6 << 20             # bytes of text of a chunk; a longer text is a chunk of its own
+PART_TEXT = 1 << 20              # bytes of text that are tokenised at a time, or one text
 
 
 class Csr:
@@ -239,32 +240,38 @@ CUT = ("chunk bigint, doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint
 ALIGNED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string")
 
 
+def _aligned(both: Pair, strings: list[str], kind: str) -> tuple[dict[str, np.ndarray], list[str], np.ndarray]:
+    """Numbers and group digests of each text, and the id pairs of all links in order."""
+    a, b, whole = both.cuts(strings)
+    groups = group_ends(a, b)
+    found = [(x, b.ids[y] << 32 | a.ids[x]) for x, y, _ in links(a, b, kind)]
+    left, ids = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*found) if found else ((), ())))
+    some = np.flatnonzero(whole)
+    per = {"n_a": np.diff(a.first), "n_b": np.diff(b.first), "n_links": np.diff(np.searchsorted(left, a.first)),
+           "n_groups": np.diff(np.searchsorted(groups, a.border[a.first], "right"))}
+    full = {k: np.zeros(len(strings), np.int64) for k in per}
+    for k, v in per.items():
+        full[k][some] = v
+    sha = [""] * len(strings)
+    for k, text in zip(some.tolist(), group_strings(a, b, groups)):
+        sha[k] = hashlib.sha256(text).hexdigest()
+    return full, sha, ids
+
+
 def _aligner(files: tuple[str, str, str], kind: str):
     def run(batches):
         both, number = pair(*files), TaskContext.get().partitionId() << 32
         for batch in batches:
             for i, strings in slices(batch.column("text"), CHUNK_TEXT):
-                n = len(strings)
-                a, b, whole = both.cuts(strings.to_pylist())
-                groups = group_ends(a, b)
-                found = [(x, y) for x, y, _ in links(a, b, kind)]
-                left = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in found)])
-                right = np.concatenate([np.zeros(0, np.int64), *(y for _, y in found)])
-                pairs, at, counts = np.unique(b.ids[right] << 32 | a.ids[left], return_inverse=True, return_counts=True)
-                some = np.flatnonzero(whole)
-                per = {"n_a": np.diff(a.first), "n_b": np.diff(b.first), "n_links": np.diff(np.searchsorted(left, a.first)),
-                       "n_groups": np.diff(np.searchsorted(groups, a.border[a.first], "right"))}
-                full = {k: np.zeros(n, np.int64) for k in per}
-                for k, v in per.items():
-                    full[k][some] = v
-                sha = [""] * n
-                for k, text in zip(some.tolist(), group_strings(a, b, groups)):
-                    sha[k] = hashlib.sha256(text).hexdigest()
+                parts = [_aligned(both, part.to_pylist(), kind) for _, part in slices(strings, PART_TEXT)]
+                pairs, at, counts = np.unique(np.concatenate([ids for _, _, ids in parts]), return_inverse=True, return_counts=True)
+                ids = batch.column("doc_id").slice(i, len(strings)).to_pylist()
                 yield pa.RecordBatch.from_pydict({
-                    "chunk": pa.array([number], pa.int64()), "doc_ids": pa.array([batch.column("doc_id").slice(i, n).to_pylist()], pa.list_(pa.int64())),
-                    **{k: pa.array([full[k]], pa.list_(pa.int64())) for k in ("n_a", "n_b", "n_groups", "n_links")},
-                    "groups_sha256": pa.array([sha], pa.list_(pa.string())), "pairs": pa.array([pairs], pa.list_(pa.int64())),
-                    "counts": pa.array([counts], pa.list_(pa.int64())), "at": pa.array([planes(at.astype(np.uint32))], pa.binary())})
+                    "chunk": pa.array([number], pa.int64()), "doc_ids": pa.array([ids], pa.list_(pa.int64())),
+                    **{k: pa.array([np.concatenate([x[k] for x, _, _ in parts])], pa.list_(pa.int64())) for k in ("n_a", "n_b", "n_groups", "n_links")},
+                    "groups_sha256": pa.array([[x for _, sha, _ in parts for x in sha]], pa.list_(pa.string())),
+                    "pairs": pa.array([pairs], pa.list_(pa.int64())), "counts": pa.array([counts], pa.list_(pa.int64())),
+                    "at": pa.array([planes(at.astype(np.uint32))], pa.binary())})
                 number += 1
 
     return run

@@ -258,7 +258,8 @@ def test_alignment(spark, docs, tmp_path, both, monkeypatch):
     docs(rows, CLASH).write.parquet(f"{tmp_path}/documents.parquet")
     got = alignment.op13_token_alignment(spark, str(tmp_path)).collect()
     assert sorted((tuple(r[c] for c in COLUMNS) for r in got), key=repr) == want
-    monkeypatch.setattr(alignment, "CHUNK_TEXT", 100)
+    monkeypatch.setattr(alignment, "CHUNK_TEXT", 300)
+    monkeypatch.setattr(alignment, "PART_TEXT", 100)
     out, pairs, _ = alignment.align(docs(rows))
     assert sorted((tuple(r[c] for c in COLUMNS) for r in out.collect()), key=repr) == want
     assert {(r.a, r.b): r.n for r in pairs.collect()} == dict(count)
