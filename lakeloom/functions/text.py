@@ -26,7 +26,9 @@ def tokens(col: str | Column) -> Column:
         runs = F.regexp_extract_all(word, F.lit(f"{CJK}+|{CJK.replace('[', '[^', 1)}+"), F.lit(0))
         return F.when(word.rlike(CJK), F.flatten(F.transform(runs, pairs))).otherwise(F.array(word))
 
-    return F.when(text.rlike(CJK), F.flatten(F.transform(plain, cut))).otherwise(plain)
+    # a Han or kana character has three bytes or more, so a text of one byte each needs no look
+    cjk = (F.octet_length(text) > F.char_length(text) + 1) & text.rlike(CJK)
+    return F.when(cjk, F.flatten(F.transform(plain, cut))).otherwise(plain)
 
 
 def lines(col: str | Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeloom.functions.numbers import pct
+from lakeloom.session import cut_lineage
 
 
 def with_share(grouped: DataFrame, value: str, name: str, digits: int = 1) -> DataFrame:
@@ -19,35 +20,62 @@ def with_share(grouped: DataFrame, value: str, name: str, digits: int = 1) -> Da
     return grouped.withColumn(name, pct(F.col(value), total, digits))
 
 
-def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float, name: str,
-                     margin: float = 0.001) -> DataFrame:
-    """Exact interpolated percentile per group, without sorting a whole group in one task.
+BAND = 10_000  # values of a group that are put in order in one place
+PROBES = 64
 
-    A mergeable sketch brackets the rank (its error is a tenth of ``margin``); values below the
-    bracket are only counted, and only the distinct values inside it, about ``2 * margin`` of the
-    group, are put in order. A group of at most ``10 / margin`` rows is taken whole, because there
-    the neighbour of the rank could lie outside the bracket.
+
+def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float, name: str, band: int = BAND) -> DataFrame:
+    """Exact interpolated percentile per group by distributed selection.
+
+    For each of the two ranks that are interpolated, a bracket of values is narrowed: PROBES values from
+    a sketch of the rows inside cut it, rows below each probe are counted exactly, and the piece that
+    holds the rank is the next bracket. Each round leaves about 1 / PROBES of the rows, until no group
+    has more than ``band`` rows inside or all of them are equal; only those are ordered. The sketch decides how fast a
+    bracket shrinks, never the result. Nulls do not count; a null key is a group.
     """
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    sketch = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", [max(p - margin, 0.0), min(p + margin, 1.0)], int(10 / margin)).alias("_ab"))
-    small = F.col("_n") <= int(10 / margin)
-    lo = F.when(F.lit(p - margin <= 0) | small, F.col("_min")).otherwise(F.get("_ab", F.lit(0)))
-    hi = F.when(F.lit(p + margin >= 1) | small, F.col("_max")).otherwise(F.get("_ab", F.lit(1)))
-    sketch = sketch.select(*keys, (p * (F.col("_n") - 1)).alias("_pos"), lo.alias("_a"), hi.alias("_b"))
-    counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    joined = counts.join(sketch, keys) if keys else counts.join(F.broadcast(sketch), F.lit(True))
-    # the values below become one row per group, ordered first, and carry their count only
-    inside = F.when(F.col("_v") < F.col("_a"), F.lit(None)).otherwise(F.col("_v"))
-    band = joined.where(F.col("_v") <= F.col("_b")).groupBy(*keys, "_pos", inside.alias("_v")).agg(F.sum("_c").alias("_c"))
-    w = W.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)
-    ranked = band.withColumn("_end", F.sum("_c").over(w))
-    low, high = F.floor("_pos"), F.ceil("_pos")
-    at = ranked.groupBy(*keys, "_pos").agg(
-        F.min(F.when(F.col("_end") > low, F.struct("_end", "_v")))["_v"].alias("_lo"),
-        F.min(F.when(F.col("_end") > high, F.struct("_end", "_v")))["_v"].alias("_hi"))
-    return at.select(*keys, (F.col("_lo") + (F.col("_pos") - low) * (F.col("_hi") - F.col("_lo"))).alias(name))
+
+    def meet(bracket: DataFrame) -> DataFrame:
+        """Rows inside the bracket of each target."""
+        named = bracket.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_t", "_rank", "_lo", "_hi")
+        on = F.lit(True)
+        for i, k in enumerate(keys):
+            on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        met = rows.join(named if keys else F.broadcast(named), on)  # without keys there are two brackets
+        return met.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))).drop(*[f"_k{i}" for i in range(len(keys))])
+
+    whole = rows.groupBy(*keys).agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    if not keys:
+        whole = whole.where("_n > 0")
+    pos = p * (F.col("_n") - 1)
+    ranks = F.array(F.struct(F.lit(0).alias("_t"), F.floor(pos).alias("_rank")), F.struct(F.lit(1).alias("_t"), F.ceil(pos).alias("_rank")))
+    whole = cut_lineage(whole.select(*keys, "_n", "_lo", "_hi", F.inline(ranks)))  # _rank: rows of the bracket before the wanted one
+    open_ = (F.col("_n") > band) & (F.col("_lo") < F.col("_hi"))
+    bracket = whole
+    while not bracket.where(open_).isEmpty():
+        target = [*keys, "_t"]
+        inside = meet(bracket.where(open_))
+        shares = F.array(*[F.lit(i / PROBES) for i in range(1, PROBES)])
+        cuts = inside.groupBy(*target).agg(F.array_distinct(F.percentile_approx("_v", shares, 20 * PROBES)).alias("_cuts"))
+        # a probe is a piece by itself, so that a frequent value does not hold a piece together
+        piece = 2 * F.size(F.filter("_cuts", lambda c: c < F.col("_v"))) + F.array_contains("_cuts", F.col("_v")).cast("int")
+        at = inside.alias("i").join(cuts.alias("c"), [F.col(f"i.{k}").eqNullSafe(F.col(f"c.{k}")) for k in target]).select("i.*", "_cuts")
+        counted = at.groupBy(*target, "_rank", piece.alias("_piece")).agg(
+            F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        before = F.sum("_n").over(W.partitionBy(*target).orderBy("_piece")) - F.col("_n")  # at most 2 * PROBES rows
+        hit = counted.withColumn("_before", before).where("_before <= _rank and _rank < _before + _n")
+        hit = hit.select(*keys, "_n", "_lo", "_hi", "_t", (F.col("_rank") - F.col("_before")).alias("_rank"))
+        bracket = cut_lineage(bracket.where(~open_).unionByName(hit))
+    single = bracket.where("_lo = _hi").select(*keys, "_t", F.col("_lo").alias("_x"))
+    ordered = meet(bracket.where("_lo < _hi")).groupBy(*keys, "_t", "_rank").agg(F.sort_array(F.collect_list("_v")).alias("_all"))  # BAND values
+    found = single.unionByName(ordered.select(*keys, "_t", F.get("_all", F.col("_rank").cast("int")).alias("_x")))
+    ends = found.groupBy(*keys).agg(F.max(F.when(F.col("_t") == 0, F.col("_x"))).alias("_a"), F.max(F.when(F.col("_t") == 1, F.col("_x"))).alias("_b"))
+    size = whole.where("_t = 0").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], pos.alias("_pos"))
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    share = F.col("_pos") - F.floor("_pos")
+    return ends.join(size if keys else F.broadcast(size), on).select(*keys, (F.col("_a") + share * (F.col("_b") - F.col("_a"))).alias(name))
 
 
 def value_distribution(df: DataFrame, col: str) -> DataFrame:

@@ -6,7 +6,7 @@ first shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import tokens
@@ -44,6 +44,16 @@ def query_words(docs: DataFrame, doc_id: str, text: str, terms: DataFrame) -> Da
     return hit.select("doc_id", "doc_len", "term").repartition("doc_id")
 
 
+def bm25_part(avg_len) -> Column:
+    """What one word (idf, tf, doc_len) adds to the score of a document."""
+    return F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("doc_len") / avg_len))
+
+
+def rounded_score(part: Column) -> Column:
+    """Sum of the parts to four digits, added as whole numbers of 1e-9: no order of words matters."""
+    return F.floor((F.sum(F.floor(part * 1e9 + 0.5)) + 50_000) / 100_000) / 1e4
+
+
 def bm25_scores(docs: DataFrame, doc_id: str, text: str, queries: DataFrame, query_id: str,
                 query_text: str) -> DataFrame:
     """(query_id, doc_id, score) for every document that shares a word with the query.
@@ -51,8 +61,8 @@ def bm25_scores(docs: DataFrame, doc_id: str, text: str, queries: DataFrame, que
     score = sum over words of ln(1 + (N - df + 0.5)/(df + 0.5)) * tf * (k1 + 1)
             / (tf + k1 * (1 - b + b * len / avg_len))
 
-    Document frequencies, corpus size and scores all read the same shuffle. Scores are added as
-    whole numbers of 1e-9, so the sum does not depend on the order of the words.
+    Document frequencies, corpus size and scores all read the same shuffle. For a corpus that is asked
+    again, ``postings.KeywordIndex`` gives the same scores without reading the texts.
     """
     terms = query_terms(queries, query_id, query_text)
     words = query_words(docs, doc_id, text, terms)
@@ -64,11 +74,7 @@ def bm25_scores(docs: DataFrame, doc_id: str, text: str, queries: DataFrame, que
     tf = words.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.max("doc_len").alias("doc_len"))
     df = tf.groupBy("term").agg(F.count("doc_len").alias("df"))
     q = terms.join(df, "term").withColumn("idf", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-    part = F.col("idf") * F.col("tf") * (K1 + 1) / (
-        F.col("tf") + K1 * (1 - B + B * F.col("doc_len") / avg_len))
-    s = F.sum(F.floor(part * 1e9 + 0.5))
-    score = F.floor((s + 50_000) / 100_000) / 1e4  # to four digits, in whole numbers
-    return tf.join(q, "term").groupBy("query_id", "doc_id").agg(score.alias("score"))
+    return tf.join(q, "term").groupBy("query_id", "doc_id").agg(rounded_score(bm25_part(avg_len)).alias("score"))
 
 
 def bm25_topk(docs: DataFrame, doc_id: str, text: str, queries: DataFrame, query_id: str,
@@ -92,24 +98,3 @@ def rrf(ranked: list[tuple[str, DataFrame]], k: int, constant: int = RRF_K) -> D
         *[F.max(F.when(F.col("src") == n, F.col("score"))).alias(f"{n}_score") for n in names],
         F.round(F.sum((1.0 / (constant + F.col("rn"))).cast("decimal(18,12)")).cast("double"), 8).alias("final_score"))
     return top_per_group(fused, ["query_id"], [F.col("final_score").desc(), F.col("item_id")], k)
-
-
-def overlap_top1(questions: DataFrame, question_id: str, text: str, stored: DataFrame, stored_id: str,
-                 stored_text: str, threshold: float) -> DataFrame:
-    """Nearest stored question by word overlap (Jaccard), or NULL below the threshold.
-
-    The questions are placed once by id; their words, overlap counts and best match follow in the
-    same task. Pairs only exist inside that task's hash aggregation.
-    """
-    q = questions.select(F.col(question_id).alias("question_id"), F.array_distinct(tokens(text)).alias("qt")).withColumn(
-        "nq", F.size("qt")).repartition("question_id")
-    s = stored.select(F.col(stored_id).alias("stored_id"), F.array_distinct(tokens(stored_text)).alias("st"))
-    sl = s.withColumn("ns", F.size("st")).select("stored_id", "ns", F.explode_outer("st").alias("term"))
-    ql = q.select("question_id", "nq", F.explode_outer("qt").alias("term"))
-    both = ql.join(sl, "term", "left").groupBy("question_id", "stored_id").agg(
-        F.count("stored_id").alias("n"), F.max("nq").alias("nq"), F.max("ns").alias("ns"))
-    score = F.coalesce(F.round(F.col("n") / (F.col("nq") + F.col("ns") - F.col("n")), 6), F.lit(0.0))
-    best = both.select("question_id", "stored_id", score.alias("score")).groupBy("question_id").agg(
-        F.max(F.struct("score", (-F.col("stored_id")).alias("neg"))).alias("b"))
-    return best.select("question_id", F.col("b.score").alias("score"),
-                       F.when(F.col("b.score") >= threshold, -F.col("b.neg")).alias("stored_id"))

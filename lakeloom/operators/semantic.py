@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeloom.functions.dates import grain_of
+from lakeloom.functions.text import CJK, WORD_BREAK
 from lakeloom.operators.joins import contains_join
 from lakeloom.sources.inline import values_relation
 
@@ -58,23 +61,61 @@ class Model:
     synonyms: dict[str, str] = field(default_factory=dict)       # term -> measure, dimension or filter
 
 
+def _resolves(df: DataFrame, condition: str | Column, *without: str) -> bool:
+    """Whether the columns of ``df`` are all that the condition names (a plan may hide more)."""
+    shape = df.sparkSession.createDataFrame([], StructType([x for x in df.schema.fields if x.name not in without]))
+    try:
+        shape.where(condition)
+        return True
+    except AnalysisException:
+        return False
+
+
 def metric_query(model: Model, table: Callable[[str], DataFrame], measures: list[str],
                  dims: list[str] = (), grain: tuple[str, str] | None = None,
                  filters: list[str | Column] = ()) -> DataFrame:
-    """Group the fact by dimensions and a time grain.
+    """Group the fact by dimensions and a time grain; every fact row counts once in each group it belongs to.
 
-    Only relationships that supply a requested dimension (or a field named by a filter string)
-    are joined, so a query without customer fields never touches the customer table.
+    Measures are summed at the grain of the fact, whatever the dimension tables hold: a dimension is joined as the distinct
+    combinations of its key and the requested fields, so rows that repeat a key do not multiply
+    sums, and one that only a filter names is a semi join. A key with several values of a requested field
+    puts its facts into each of these groups. Filters are SQL or columns; each goes to
+    the table that has all its fields. Only relationships that a dimension or a filter needs are joined.
     """
-    df = table(model.name)
+    fact = table(model.name)
     for name, expr in model.facts.items():
-        df = df.withColumn(name, F.expr(expr))
-    text_filters = " ".join(f for f in filters if isinstance(f, str))
-    for rel in model.relationships:
-        if any(fld in dims or fld in text_filters for fld in rel.fields):
-            df = df.join(table(rel.table).select(*rel.keys, *rel.fields), list(rel.keys), rel.how)
+        fact = fact.withColumn(name, F.expr(expr))
+    dim_tables = {rel: table(rel.table).select(*rel.keys, *rel.fields) for rel in model.relationships}
+    own: dict[Relationship, list] = {}
+    late = []
     for f in filters:
+        if _resolves(fact, f):
+            fact = fact.where(f)
+            continue
+        at = [rel for rel, d in dim_tables.items() if _resolves(d, f)]
+        # a condition that holds without a dimension row must see the facts that have none
+        if at and dim_tables[at[0]].limit(0).unionByName(_nothing(dim_tables[at[0]])).where(f).isEmpty():
+            own.setdefault(at[0], []).append(f)
+        else:
+            late.append(f)
+    wanted = {rel: [c for c in rel.fields if c in dims and c not in fact.columns] for rel in model.relationships}
+    extra = _needed(fact, dim_tables, wanted, late)
+    row = bool(late and any(extra.values()))
+    if row:  # a filter over fields that are no group could meet a fact twice
+        fact = fact.withColumn("_row", F.monotonically_increasing_id())
+    df = fact
+    for rel, d in dim_tables.items():
+        for f in own.get(rel, []):
+            d = d.where(f)
+        fields = [*wanted[rel], *extra.get(rel, [])]
+        if fields:
+            df = df.join(d.select(*rel.keys, *fields).distinct(), list(rel.keys), "inner" if rel in own else rel.how)
+        elif rel in own:
+            df = df.join(d.select(*rel.keys), list(rel.keys), "left_semi")
+    for f in late:
         df = df.where(f)
+    if row:
+        df = df.dropDuplicates(["_row", *[d for d in dims if d in df.columns]])
     keys = [F.expr(model.dimensions.get(d, d)).alias(d) for d in dims]
     if grain:
         col, unit = grain
@@ -84,6 +125,53 @@ def metric_query(model: Model, table: Callable[[str], DataFrame], measures: list
     return df.groupBy(*keys).agg(*[model.measures[m].column() for m in measures])
 
 
+def _nothing(df: DataFrame) -> DataFrame:
+    """One row of nulls."""
+    return df.sparkSession.range(1).select(*[F.lit(None).cast(x.dataType).alias(x.name) for x in df.schema.fields])
+
+
+def _needed(fact: DataFrame, dim_tables: dict, wanted: dict, late: list) -> dict:
+    """Further fields that the late filters need, by relationship."""
+    got: dict = {}
+    for f in late:
+        have = fact.limit(0)
+        for rel, d in dim_tables.items():
+            have = have.join(d.limit(0), list(rel.keys), "left")
+        if not _resolves(have, f):
+            raise ValueError(f"a filter names no field of the model: {f}")
+        for rel, d in dim_tables.items():
+            for c in rel.fields:
+                if c in have.columns and not _resolves(have, f, c):
+                    got.setdefault(rel, [])
+                    if c not in got[rel] and c not in wanted[rel]:
+                        got[rel].append(c)
+    return got
+
+
+def metrics_across(parts: list[tuple[Model, list[str]]], table: Callable[[str], DataFrame], dims: list[str],
+                   grain: tuple[str, str] | None = None, filters: list[str | Column] = ()) -> DataFrame:
+    """Measures of several facts side by side on the dimensions they share.
+
+    Each fact is grouped by itself and only the groups meet, null-safe; a group that a fact does not have has
+    null measures there. Filters apply to every fact and so name shared dimensions.
+    """
+    keys = [*([grain[1]] if grain else []), *dims]
+    out = None
+    for model, measures in parts:
+        g = metric_query(model, table, measures, dims, grain, filters)
+        if out is None:
+            out = g
+            continue
+        g = g.select(*[F.col(k).alias(f"_{k}") for k in keys], *measures)
+        on = F.lit(True)
+        for k in keys:
+            on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        both = out.withColumn("_a", F.lit(True)).join(g, on, "full_outer")
+        out = both.select(*[F.when(F.col("_a"), F.col(k)).otherwise(F.col(f"_{k}")).alias(k) for k in keys],
+                          *[c for c in out.columns if c not in keys], *measures)
+    return out
+
+
 def read_model(spec: dict) -> dict[str, Model]:
     """Models from a parsed YAML document, in either dialect.
 
@@ -122,11 +210,20 @@ def read_model(spec: dict) -> dict[str, Model]:
 def resolve_terms(texts: DataFrame, text_col: str, key: str, synonyms: DataFrame) -> DataFrame:
     """Business words of each text mapped to columns or filters: rows (key, term, target).
 
-    ``synonyms`` has lower-case terms and their target. A term counts wherever the text contains it,
-    as sentences without blanks hold it inside.
+    A term of Han or kana counts wherever the text contains it, as such sentences have no blanks; any other
+    term only as whole words in a row. Case does not matter; ``term`` comes back as it was given.
     """
-    lower = texts.select(key, F.lower(text_col).alias("_text"))
-    return contains_join(lower, "_text", synonyms, "term").select(key, "term", "target")
+    def words(c):  # each word between blanks, so that a phrase is found by its words
+        return F.concat(F.lit(" "), F.array_join(F.filter(F.split(F.lower(c), WORD_BREAK), lambda w: w != ""), " "), F.lit(" "))
+
+    found = None
+    for cjk in (True, False):
+        some = synonyms.where(F.col("term").rlike(CJK) == cjk)
+        body, term = (F.lower(text_col), F.lower("term")) if cjk else (words(text_col), words("term"))
+        some = some.select("term", "target", term.alias("_term")).where(F.trim("_term") != "")
+        hit = contains_join(texts.select(key, body.alias("_text")), "_text", some, "_term").select(key, "term", "target")
+        found = hit if found is None else found.unionByName(hit)
+    return found
 
 
 def infer_model(df: DataFrame, name: str, max_values: int = 20) -> DataFrame:

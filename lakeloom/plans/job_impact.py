@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeloom.operators import impact, keyword
+from lakeloom.functions.text import tokens
+from lakeloom.operators import impact, keyword, similarity
 from lakeloom.plans.registry import query
 from lakeloom.plans.search import WORDS, bm25_sql, ranked_sql
 
@@ -130,12 +131,12 @@ def _route(f):
     return impact.route(q, "text", RULES).select("conv_id", "turn", "tools", "route")
 
 
-@query("verified_query_lookup", f"""WITH q AS (SELECT conv_id * 1000 + turn AS question_id, list_distinct({WORDS.format('text')}) AS qt FROM conversations WHERE role = 'user'),
+@query("verified_query_lookup", f"""WITH q AS (SELECT conv_id, turn, list_distinct({WORDS.format('text')}) AS qt FROM conversations WHERE role = 'user'),
 s AS (SELECT item_id AS stored_id, list_distinct({WORDS.format('text')}) AS st FROM benchmark),
-x AS (SELECT question_id, stored_id, len(list_intersect(qt, st)) AS b, len(qt) AS nq, len(st) AS ns FROM q CROSS JOIN s),
-r AS (SELECT question_id, stored_id, round(b::DOUBLE / greatest(nq + ns - b, 1), 6) AS score FROM x
-QUALIFY row_number() OVER (PARTITION BY question_id ORDER BY score DESC, stored_id) = 1)
-SELECT question_id, CASE WHEN score >= 0.05 THEN stored_id END AS stored_id, score FROM r""")
+x AS (SELECT conv_id, turn, stored_id, len(list_intersect(qt, st)) AS b, len(qt) AS nq, len(st) AS ns FROM q CROSS JOIN s),
+r AS (SELECT conv_id, turn, stored_id, round(b::DOUBLE / greatest(nq + ns - b, 1), 6) AS score FROM x
+QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY score DESC, stored_id) = 1)
+SELECT conv_id, turn, CASE WHEN score >= 0.05 THEN stored_id END AS stored_id, score FROM r""")
 def _lookup(f):
-    q = f.conversations.where("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("question_id"), "text")
-    return keyword.overlap_top1(q, "question_id", "text", f.benchmark, "item_id", "text", 0.05)
+    q = f.conversations.where("role = 'user'").select("conv_id", "turn", "text")
+    return similarity.best_match(q, ["conv_id", "turn"], tokens("text"), f.benchmark, "item_id", tokens("text"), 0.05)

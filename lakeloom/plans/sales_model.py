@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import dates
 from lakeloom.functions.numbers import count_if, dbl, pct, sum_if
-from lakeloom.operators.semantic import Measure, Model, Relationship, metric_query, resolve_terms
+from lakeloom.operators.semantic import Measure, Model, Relationship, metric_query, metrics_across, resolve_terms
 from lakeloom.operators.semantic import infer_model
 from lakeloom.plans.frames import Frames
 from lakeloom.plans.registry import query
@@ -271,13 +271,21 @@ CORPUS_SYNONYMS = [("view", "crud_r_flag = 1"), ("click", "crud_u_flag = 1"), ("
 SELECT log_id, t.term, t.target FROM quality_log JOIN (VALUES
   ('view', 'crud_r_flag = 1'), ('click', 'crud_u_flag = 1'), ('error', 'crud_d_flag = 1'),
   ('signup', 'crud_c_flag = 1'), ('purchase', 'file_o_flg = 1')) t(term, target)
-ON contains(lower(query), t.term)""", "quality_log")
+ON contains(' ' || regexp_replace(lower(query), '[^\\p{L}\\p{N}]+', ' ', 'g') || ' ', ' ' || t.term || ' ')""", "quality_log")
 def _synonym_resolve(f):
-    terms = f.spark.createDataFrame(
-        [(t.lower(), x) for t, x in USAGE_SYNONYMS + CORPUS_SYNONYMS], "term string, target string")
+    terms = f.spark.createDataFrame(USAGE_SYNONYMS + CORPUS_SYNONYMS, "term string, target string")
     return resolve_terms(f.quality_log(), "query", "log_id", terms)
 
 
+@query("metrics_across_facts", f"""SELECT coalesce(a.category, b.category) AS category, total_sales, order_count, product_count, avg_list_price FROM (
+SELECT category, {LIVE_SUM} AS total_sales, {LIVE_COUNT} AS order_count FROM sales GROUP BY 1) a FULL JOIN (
+SELECT category, count(CASE WHEN is_active THEN product_id END) AS product_count,
+  round(CAST(sum(list_price) AS DOUBLE) / count(list_price), 4) AS avg_list_price FROM products GROUP BY 1) b ON a.category = b.category""", "sales products")
+def _across(f):
+    """Measures of orders and of products by the category that both have."""
+    return metrics_across([(SALES, ["total_sales", "order_count"]), (PRODUCTS, ["product_count", "avg_list_price"])], provider(f), ["category"])
+
+
 @query("infer_model")
 def _infer_model(f):
     return infer_model(f.orders, "orders").unionByName(infer_model(f.lineitem, "lineitem"))

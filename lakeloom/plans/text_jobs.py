@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeloom.functions import dates
-from lakeloom.operators import keyword, retrieval, textjobs
+from lakeloom.operators import retrieval, textjobs
 from lakeloom.operators.aggregates import contribution
 from lakeloom.operators.dml import fill_missing
 from lakeloom.plans.registry import query
-from lakeloom.plans.search import BM, WORDS, ranked_sql
+from lakeloom.plans.search import BM, WORDS, document_index, ranked_sql
 from lakeloom.sources.inline import values_relation
 
 LEXICON = [("good", "1"), ("great", "1"), ("best", "1"), ("with", "0.5"), ("that", "0.25"), ("bad", "-1"), ("poor", "-1"),
@@ -45,7 +45,7 @@ x AS (SELECT t.query_id, pos, trim(s) AS answer, len(list_intersect(list_distinc
 FROM top1 t JOIN benchmark b ON t.query_id = b.item_id JOIN sen USING (doc_id))
 SELECT query_id, CAST(overlap AS BIGINT) AS overlap, answer FROM x QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY overlap DESC, pos) = 1""")
 def _extract(f):
-    hits = keyword.bm25_topk(f.texts, "doc_id", "text", f.benchmark, "item_id", "text", 1)
+    hits = document_index(f).topk(f.benchmark, "item_id", "text", 1)
     pairs = hits.join(f.documents.select("doc_id", F.col("text").alias("context")), "doc_id").join(
         f.benchmark.select(F.col("item_id").alias("query_id"), F.col("text").alias("question")), "query_id")
     return textjobs.extract_answer(pairs, "query_id", "question", "context")
