@@ -3,13 +3,15 @@
 With N[g] open sequences that have g free places, a piece goes into the open sequence for which the
 sum of N[g]**2 becomes smallest; ties go to the smallest gap, and a new one is opened only where the
 piece fits in none. Pieces are dealt into groups of bounded bytes by a hash, and every group is
-packed on its own, long pieces first (the hash covers the ids, and copies of a row are told apart by
+packed on its own, long pieces first (the hash covers a checksum of the ids, and copies of a row are told apart by
 where they are met, so that rows without an id or with the same one do not gather); what a group leaves open is a few sequences among thousands.
 (Offered in random order and free to open sequences at any time, the same rule needs 1.2 % more.)
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -18,12 +20,12 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm import tokens
 from lakeloom.llm.arrays import slices
-from lakeloom.llm.base import documents, query, texts
+from lakeloom.llm.base import documents, query, staged, texts
 
 CAPACITY = 2048
 GROUP_BYTES = 48 << 20  # bytes of text that make a group of pieces
-PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
-PACKED = PIECES + ", sequence_id bigint, offset bigint"
+PLACED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, number bigint, sequence_id bigint, offset bigint"
+_TYPES = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
 
 
 def place(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
@@ -66,51 +68,68 @@ def spread(doc_ids: list, strings: list, begin: int) -> list[int]:
     return out
 
 
-def to_pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
-    """The pieces, with ``copy``: 0, or for a repeated row a number of its own."""
+def to_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, with_ids: bool = True) -> DataFrame:
+    """The pieces with ``number`` (of its own for each), ``ids_crc32`` and ``h`` (hash of the ids; another for repeated rows)."""
     def run(batches):
         met = 1 + (TaskContext.get().partitionId() << 40)
+        number = met
         for batch in batches:
             for i, strings in slices(batch.column("text")):
                 doc_ids, strings = batch.column("doc_id").slice(i, len(strings)).to_pylist(), strings.to_pylist()
                 copies = spread(doc_ids, strings, met)
                 met += len(strings)
-                rows = [(d, k, a, len(x) // 4, x, c) for d, c, ids in zip(
+                rows = [(d, k, a, len(x) // 4, zlib.crc32(x), c, x if with_ids else None) for d, c, ids in zip(
                     doc_ids, copies, tokens.encoded(strings, path, end_id))
                     for k, (a, x) in enumerate(cut(ids, capacity))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()))],
-                    ["doc_id", "piece", "start", "length", "ids", "copy"])
+                cols = [pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)] + [pa.array(range(number, number + len(rows)), pa.int64())]
+                number += len(rows)
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "piece", "start", "length", "ids_crc32", "copy", "ids", "number"])
+
+    schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, copy bigint, ids binary, number bigint"
+    pieces = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, schema)
+    return pieces.withColumn("h", F.xxhash64("doc_id", "piece", "length", "ids_crc32", "copy")).drop("copy", *([] if with_ids else ["ids"]))
+
+
+def places(pieces: DataFrame, groups: int, capacity: int = CAPACITY) -> DataFrame:
+    """number, sequence_id, offset and the small columns of pieces: their ids do not travel."""
+    def run(key, table):
+        if not table.num_rows:
+            return table
+        order = table.sort_by([("length", "descending"), ("h", "ascending"), ("doc_id", "ascending"), ("piece", "ascending"), ("number", "ascending")])
+        sequence, offset = place(order.column("length").to_numpy(), capacity)
+        return order.drop_columns(["g", "h"]).append_column("sequence_id", pa.array((key[0].as_py() << 40) + sequence)) \
+            .append_column("offset", pa.array(offset))
+
+    slim = pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "number", "h", F.pmod("h", F.lit(groups)).alias("g"))
+    return slim.groupBy("g").applyInArrow(run, PLACED)
 
-    return texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, PIECES + ", copy bigint")
+
+def _groups(docs: DataFrame, group_bytes: int) -> int:
+    return -(-(docs.agg(F.sum(F.octet_length("text") + 4)).first()[0] or 1) // group_bytes)
 
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = tokens.END_ID,
          group_bytes: int = GROUP_BYTES) -> DataFrame:
     """A row for each piece with its ids, sequence and offset.
 
-    A null or empty text is its end id alone; rows that share an id and repeated rows are pieces of
-    their own; an empty table gives no rows.
+    Pieces are staged once; only their lengths and numbers are packed, and the places are joined back. A null or
+    empty text is its end id alone; rows that share an id and repeated rows are pieces of their own; an empty table
+    gives no rows.
     """
-    size = docs.agg(F.sum(F.octet_length("text") + 4)).first()[0] or 1
-    groups = -(-size // group_bytes)
+    pieces = staged(to_pieces(docs, path or tokens.tokenizer_path(), capacity, end_id), "pieces")
+    placed = places(pieces, _groups(docs, group_bytes), capacity).select("number", "sequence_id", "offset")
+    return pieces.join(placed, "number").select("doc_id", "piece", "start", "length", "ids", "sequence_id", "offset")
 
-    def run(key, table):
-        if not table.num_rows:
-            return table
-        order = table.sort_by([("length", "descending"), ("h", "ascending"), ("doc_id", "ascending"), ("piece", "ascending")])
-        sequence, offset = place(order.column("length").to_numpy(), capacity)
-        got = order.drop_columns(["g", "h"])
-        return got.append_column("sequence_id", pa.array((key[0].as_py() << 40) + sequence)) \
-            .append_column("offset", pa.array(offset))
 
-    pieces = to_pieces(docs, path or tokens.tokenizer_path(), capacity, end_id)
-    pieces = pieces.withColumn("h", F.xxhash64("doc_id", "piece", "ids", "copy")).withColumn("g", F.pmod("h", F.lit(groups))).drop("copy")
-    return pieces.groupBy("g").applyInArrow(run, PACKED)
+def pack_digests(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = tokens.END_ID,
+                 group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """Like ``pack``, with the checksum of the ids of each piece in place of the ids."""
+    pieces = to_pieces(docs, path or tokens.tokenizer_path(), capacity, end_id, with_ids=False)
+    return places(pieces, _groups(docs, group_bytes), capacity).drop("number")
 
 
 @query("op8_packing")
 def op8_packing(spark, folder):
-    """Every piece of every document with its place."""
-    return pack(documents(spark, folder)).select(
-        "doc_id", "piece", "start", "length", F.crc32("ids").cast("long").alias("ids_crc32"), "sequence_id", "offset")
+    """Every piece of every document with its place; odd rows and empty tables as in ``pack``."""
+    return pack_digests(documents(spark, folder)).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
