@@ -314,3 +314,48 @@ def test_product_by_blocks():
         assert (dense == left @ right).all()
     back = csr(left).transposed().transposed()
     assert (back.indices == csr(left).indices).all() and (back.values == csr(left).values).all()
+
+
+# --- 3 near duplicates: recall --------------------------------------------------------------------------
+
+def test_near_duplicate_recall(spark, docs):
+    """Links of every document whose id is divisible by 50, against brute force; families without their original included."""
+    from lakeloom.llm import neardup
+    rng = np.random.default_rng(8)
+    out, number = [], 0
+
+    def add(words):
+        nonlocal number
+        out.append((number, " ".join(words)))
+        number += 1
+
+    def changed(words, places):
+        words = list(words)
+        for i in rng.choice(len(words), places, replace=False):
+            words[i] = f"n{rng.integers(1 << 30)}"
+        return words
+
+    for _ in range(30):  # pairs and small groups
+        base = [f"v{i}" for i in rng.integers(0, 5000, 150)]
+        add(base)
+        for places in (1, 2, 3):
+            add(changed(base, places))
+    for kept in (True, False):  # large families: alike to the original, less so to each other
+        base = [f"v{i}" for i in rng.integers(0, 5000, 300)]
+        if kept:
+            add(base)
+        for _ in range(150):
+            add(changed(base, int(rng.integers(2, 6))))
+    sets = {}
+    for i, t in out:
+        w = t.split()
+        sets[i] = Counter(tuple(w[j:j + 5]) for j in range(len(w) - 4))
+    got = {r.doc_id: r.class_id for r in neardup.near_classes(docs(out)).collect()}
+    links = found = 0
+    for a in range(0, number, 50):
+        for b in range(number):
+            if a != b:
+                inside = sum((sets[a] & sets[b]).values())
+                if inside >= 0.8 * (sum(sets[a].values()) + sum(sets[b].values()) - inside):
+                    links, found = links + 1, found + (got[a] == got[b])
+    assert links > 50 and found >= 0.9 * links, (links, found)
