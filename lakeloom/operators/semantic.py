@@ -85,32 +85,41 @@ def metric_query(model: Model, table: Callable[[str], DataFrame], measures: list
     fact = table(model.name)
     for name, expr in model.facts.items():
         fact = fact.withColumn(name, F.expr(expr))
-    dim_tables = {rel: table(rel.table).select(*rel.keys, *rel.fields) for rel in model.relationships}
+    seen: dict[Relationship, DataFrame] = {}
+
+    def dim(rel: Relationship) -> DataFrame:
+        if rel not in seen:
+            seen[rel] = table(rel.table).select(*rel.keys, *rel.fields)
+        return seen[rel]
+
     own: dict[Relationship, list] = {}
     late = []
     for f in filters:
         if _resolves(fact, f):
             fact = fact.where(f)
             continue
-        at = [rel for rel, d in dim_tables.items() if _resolves(d, f)]
+        at = next((rel for rel in model.relationships if _resolves(dim(rel), f)), None)
         # a condition that holds without a dimension row must see the facts that have none
-        if at and dim_tables[at[0]].limit(0).unionByName(_nothing(dim_tables[at[0]])).where(f).isEmpty():
-            own.setdefault(at[0], []).append(f)
+        if at and _nothing(dim(at)).where(f).isEmpty():
+            own.setdefault(at, []).append(f)
         else:
             late.append(f)
     wanted = {rel: [c for c in rel.fields if c in dims and c not in fact.columns] for rel in model.relationships}
-    extra = _needed(fact, dim_tables, wanted, late)
+    extra = _needed(fact, {rel: dim(rel) for rel in model.relationships}, wanted, late) if late else {}
     row = bool(late and any(extra.values()))
     if row:  # a filter over fields that are no group could meet a fact twice
         fact = fact.withColumn("_row", F.monotonically_increasing_id())
     df = fact
-    for rel, d in dim_tables.items():
+    for rel in model.relationships:
+        fields = [*wanted[rel], *extra.get(rel, [])]
+        if not fields and rel not in own:
+            continue
+        d = dim(rel)
         for f in own.get(rel, []):
             d = d.where(f)
-        fields = [*wanted[rel], *extra.get(rel, [])]
         if fields:
             df = df.join(d.select(*rel.keys, *fields).distinct(), list(rel.keys), "inner" if rel in own else rel.how)
-        elif rel in own:
+        else:
             df = df.join(d.select(*rel.keys), list(rel.keys), "left_semi")
     for f in late:
         df = df.where(f)
