@@ -359,3 +359,26 @@ def test_near_duplicate_recall(spark, docs):
                 if inside >= 0.8 * (sum(sets[a].values()) + sum(sets[b].values()) - inside):
                     links, found = links + 1, found + (got[a] == got[b])
     assert links > 50 and found >= 0.9 * links, (links, found)
+
+
+# --- 8 packing: checksums in place of ids ---------------------------------------------------------------
+
+def test_packing_digests(docs):
+    import zlib
+
+    from lakeloom.llm import packing
+    rows = [(i, " ".join(f"word{j * i}" for j in range(i * 7 % 90))) for i in range(40)] + [(None, None), (7, "same"), (7, "same")]
+    library = Tokenizer.from_file(tokens.tokenizer_path())
+    ids = sorted((repr(d), [*library.encode(t or "", add_special_tokens=False).ids, 0]) for d, t in rows)
+    got = packing.pack_digests(docs(rows), capacity=64).collect()
+    want = []
+    for d, x in ids:
+        begin = [0, *range(len(x) % 64 or 64, len(x), 64)] if len(x) > 64 else [0]
+        want += [(d, k, a, b - a, zlib.crc32(np.array(x[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(begin, [*begin[1:], len(x)]))]
+    assert sorted((repr(r.doc_id), r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(want)
+    places = defaultdict(list)
+    for r in got:
+        places[r.sequence_id].append((r.offset, r.length))
+    for x in places.values():
+        x.sort()
+        assert [o for o, _ in x] == [sum(n for _, n in x[:i]) for i in range(len(x))] and sum(n for _, n in x) <= 64
