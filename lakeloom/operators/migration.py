@@ -7,6 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegralType
+
+from lakeloom.session import shared_dir
 
 
 @dataclass(frozen=True)
@@ -126,6 +129,48 @@ def reconcile_rows(source: DataFrame, copy: DataFrame, key: str) -> DataFrame:
     return j.select(key, status.alias("status")).where(F.col("status").isNotNull())
 
 
+RANGE_WIDTH = 1 << 16  # keys in a range; more widens what is read again for one difference
+HASH_RANGES = 1 << 16  # parts of a key that is neither a number nor a date
+
+
+def reconcile_ranges(source: DataFrame, copy: DataFrame, key: str, width: int = RANGE_WIDTH) -> DataFrame:
+    """The rows of ``reconcile_rows``, found in two levels: a digest of each key range, then the keys of unequal ranges only.
+
+    Equal copies cost one aggregate of each side, combined before the shuffle to a row a range. Numbers and dates are cut into ranges
+    of ``width``, whose ends reach the scan as a filter on the key; other keys into parts by hash. Keys may repeat or be null.
+    """
+    kind = source.schema[key].dataType
+    ordered = isinstance(kind, (IntegralType, DateType))
+    number = F.unix_date(key) if isinstance(kind, DateType) else F.col(key)
+    part = F.floor(number / F.lit(width)).cast("bigint") if isinstance(kind, DateType) else F.expr(f"(`{key}` - pmod(`{key}`, {width}L)) div {width}L")
+    if not ordered:
+        part = F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(key), F.lit(HASH_RANGES)))
+    marked = [x for c in source.columns for x in (F.col(c).isNull(), F.col(c))]
+
+    def digest(df, name):
+        g = df.groupBy(part.alias(f"_p{name}")).agg(F.sum(F.xxhash64(*marked).cast("decimal(38,0)")).alias("total"), F.count(F.lit(1)).alias("n"))
+        return g.select(f"_p{name}", F.struct("total", "n").alias(f"_d{name}"))
+
+    j = digest(source, "s").join(digest(copy, "c"), F.col("_ps").eqNullSafe(F.col("_pc")), "full_outer").where(~F.col("_ds").eqNullSafe(F.col("_dc")))
+    path = shared_dir(source.sparkSession, "unequal-ranges")
+    j.select(F.when(F.col("_ds").isNull(), F.col("_pc")).otherwise(F.col("_ps")).alias("_p")).write.parquet(path)
+    unequal = source.sparkSession.read.schema("_p bigint").parquet(path)
+    lo, hi, nulls, n = unequal.agg(F.min("_p"), F.max("_p"), F.count_if(F.col("_p").isNull()), F.count(F.lit(1))).first()
+    if not n:
+        return source.select(key, F.lit(None).cast("string").alias("status")).where(F.lit(False))
+
+    def again(df):
+        if ordered and lo is not None:
+            ends = [F.lit(lo * width), F.lit(hi * width + width - 1)]
+            if isinstance(kind, DateType):
+                ends = [F.date_from_unix_date(e.cast("int")) for e in ends]
+            inside = F.col(key).between(*ends)
+            df = df.where(inside | F.col(key).isNull() if nulls else inside)
+        return df.withColumn("_q", part).join(unequal, F.col("_q").eqNullSafe(F.col("_p")), "left_semi").drop("_q")
+
+    return reconcile_rows(again(source), again(copy.select(*source.columns)), key)
+
+
 def size_limit_check(sizes: DataFrame, limits: list[tuple[str, int]] = SIZE_LIMITS_TB) -> DataFrame:
     """Every database against the size limit of every target service."""
     lim = F.array(*[F.struct(F.lit(n).alias("service"), F.lit(tb).alias("limit_tb")) for n, tb in limits])

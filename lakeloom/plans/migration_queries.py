@@ -188,6 +188,18 @@ def _table_rows(f):
     return o.join(p, "object_id").select("name", "object_id", "n_rows").orderBy(F.col("n_rows").desc(), "object_id")
 
 
+@query("reconcile_ranges", """SELECT DISTINCT l_orderkey, 'changed' AS status FROM lineitem WHERE l_orderkey BETWEEN 500 AND 900 AND l_linenumber = 2
+UNION ALL SELECT DISTINCT l_orderkey, 'missing' FROM lineitem WHERE l_orderkey BETWEEN 1000 AND 1100
+UNION ALL SELECT DISTINCT -l_orderkey, 'extra' FROM lineitem WHERE l_orderkey BETWEEN 1 AND 50""")
+def _ranges(f):
+    """All order lines against a copy in which one stretch of orders has drifted, one is lost and one came twice under other keys."""
+    drift = F.col("l_orderkey").between(500, 900) & (F.col("l_linenumber") == 2)
+    copy = f.lineitem.where(~F.col("l_orderkey").between(1000, 1100)) \
+        .withColumn("l_quantity", F.when(drift, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+    extra = f.lineitem.where(F.col("l_orderkey").between(1, 50)).withColumn("l_orderkey", -F.col("l_orderkey"))
+    return migration.reconcile_ranges(f.lineitem, copy.unionByName(extra), "l_orderkey", 1024)
+
+
 @query("reconcile_hash", """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'missing' ELSE 'changed' END AS status FROM orders
 WHERE o_orderstatus = 'P' OR (o_orderpriority = '1-URGENT' AND o_totalprice > 400000)
 UNION ALL SELECT DISTINCT o_orderkey, 'changed' FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 50 = 0

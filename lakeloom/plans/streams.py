@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeloom.operators.maintained import MaintainedSummary
 from lakeloom.operators.textjobs import trailing_zscore
 from lakeloom.plans.evaluation_queries import DAILY_SQL
 from lakeloom.plans.registry import query
@@ -80,6 +81,28 @@ def _changes(f):
     return jobs.merged(f.customer.select("c_custkey", "c_acctbal"), log, "c_custkey")
 
 
+@query("maintained_summary", """WITH l AS (SELECT user_id, event_type, ts, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1),
+r AS (SELECT o_orderdate AS day, o_orderstatus AS status, o_totalprice AS price FROM orders WHERE o_orderkey NOT IN (SELECT user_id FROM l)
+UNION ALL SELECT ts, event_type, value FROM l WHERE event_type <> 'error')
+SELECT CAST(date_trunc('month', day) AS DATE) AS month, status, CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS sum_price FROM r GROUP BY 1, 2""")
+def _summary(f):
+    """Monthly summary of all orders, then kept up to date by a stream of changes to them (months move, orders come and go)."""
+    def month(at):
+        return F.to_date(F.date_trunc("month", at)).alias("month")
+
+    price = "decimal(18,2)"
+    root = shared_dir(f.spark, "maintained")
+    kept = MaintainedSummary(f.spark, f"{root}/summary", "o_orderkey", "month", ["status"], ["price"],
+                             f"o_orderkey bigint, month date, status string, price {price}")
+    kept.apply(f.orders.select("o_orderkey", month("o_orderdate"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").cast(price).alias("price"),
+                               F.lit(-1).alias("seq"), F.lit("I").alias("op")), 0)
+    e = jobs.table_stream(f.spark, f.folder, "events")
+    changes = e.select(F.col("user_id").alias("o_orderkey"), month("ts"), F.col("event_type").alias("status"), F.col("value").cast(price).alias("price"),
+                       F.col("event_id").alias("seq"), F.expr("CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END").alias("op"))
+    drain(jobs.summary_stream(changes, kept, f"{root}/checkpoint"))
+    return kept.summary().withColumn("sum_price", F.col("sum_price").cast("double"))
+
+
 @query("stream_conversation")
 def _conversation(f):
     s = jobs.conversation_stream(jobs.table_stream(f.spark, f.folder, "conversations"), 20)

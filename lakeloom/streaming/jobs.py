@@ -17,6 +17,7 @@ from lakeloom.operators.chunking import chunk_lines
 from lakeloom.operators.dml import latest_changes, stable_id
 from lakeloom.operators.encoders import embed_hashing
 from lakeloom.operators.evaluation import daily_columns
+from lakeloom.operators.maintained import MaintainedSummary
 from lakeloom.sources.tables import SCHEMAS
 from lakeloom.streaming.sinks import UpsertLog, run_batches
 
@@ -58,6 +59,11 @@ def merged(base: DataFrame, log: UpsertLog, key: str, seq: str = "seq", op: str
     return base.join(last.select(key), key, "left_anti").select(*base.columns).unionByName(live)
 
 
+def summary_stream(changes: DataFrame, summary: MaintainedSummary, checkpoint: str, lag: str | None = None) -> StreamingQuery:
+    """Keep a summary up to date with a change log; generation 0 is what the summary was loaded with."""
+    return run_batches(changes, checkpoint, lambda batch, i: summary.apply(batch, i + 1), lag)
+
+
 def windowed(rows: DataFrame, ts: str, size: str, lateness: str, aggs: list[Column]) -> DataFrame:
     """Tumbling windows over a zone-less time; late rows are accepted for ``lateness``."""
     x = rows.withColumn("_at", utc_instant(ts)).withWatermark("_at", lateness)
