@@ -112,6 +112,21 @@ def test_sharding(spark, docs):
         assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
 
 
+def test_sharding_cuts_between_repeated_rows(spark, docs, tmp_path):
+    rows = [(None, "the very same words again and again")] * 3000 + [(i, f"own text {i} " * 3) for i in range(1000)]
+    docs(rows).repartition(7).write.parquet(f"{tmp_path}/documents.parquet")
+    for df in (docs(rows), spark.read.parquet(f"{tmp_path}/documents.parquet")):  # rows of a session, rows of files
+        got = sharding.shard(df).select("row.doc_id", "row.text", "size", "shard", "slot").collect()
+        assert Counter((r.doc_id, r.text) for r in got) == Counter(rows)
+        weight = Counter()
+        for r in got:
+            weight[r.shard] += r["size"]
+        even = sum(weight.values()) / 40
+        assert set(weight) == set(range(40)) and max(abs(v - even) for v in weight.values()) < 0.03 * even
+        for s in range(40):
+            assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+
+
 # --- 4 quality ------------------------------------------------------------------------------------------
 
 def test_quality_counts_and_verdict(spark, docs):
