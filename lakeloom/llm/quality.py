@@ -82,7 +82,8 @@ def log_ratios(docs: DataFrame, labels: DataFrame, most: int = MOST_TRUSTED, pri
         return np.zeros(1 << BIN_BITS)  # nothing is trusted: no evidence against any text
     q = (raw + SMOOTHING) / (raw + SMOOTHING).sum()
     left_out = both.where("trusted").select("text").mapInArrow(_left_out(docs, trusted, q, prior), "score double")
-    n, low = left_out.agg(F.count("score"), F.percentile_approx("score", MOST_LOST, 100_000)).first()
+    # exact, so that verdicts do not depend on how partitions merge; at most ``most`` numbers
+    n, low = left_out.agg(F.count("score"), F.expr(f"percentile_disc({MOST_LOST!r}) WITHIN GROUP (ORDER BY score)")).first()
     if n < FEWEST_TRUSTED:
         return np.zeros(1 << BIN_BITS)
     ratios = np.log((trusted / trusted.sum() + prior * q) / (1 + prior)) - np.log(q)
