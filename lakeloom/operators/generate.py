@@ -7,21 +7,24 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.operators.sampling import drawn, seeded_pick
 
-def draw(seed: int, low: int, high: int) -> Column:
-    """Whole number from low to high, both included."""
-    return (F.floor(F.rand(seed) * (high - low + 1)) + low).cast("int")
+
+def draw(seed: int, key: str, low: int, high: int) -> Column:
+    """Whole number from low to high, both included, that depends on seed and key alone."""
+    return (F.pmod(drawn(seed, key), F.lit(high - low + 1)) + low).cast("int")
 
 
 def synthetic_orders(keys: DataFrame, products: DataFrame, start: dt.date, days: int, seed: int,
                      regions: tuple[str, ...] = ("EAST", "WEST", "OVERSEAS")) -> DataFrame:
-    """One order per key row: random day, product, quantity, region and status (1 in 10 cancelled)."""
+    """One order per key row: random day, product, quantity, region and status (1 in 10 cancelled).
+
+    The same keys and products give the same orders on every cluster; gaps in the product ids lose no order.
+    """
     key = keys.columns[0]
-    n = products.agg(F.max("product_id")).first()[0]
-    x = keys.withColumn("product_id", (F.floor(F.rand(seed) * (n + 1))).cast("long")) \
-            .withColumn("quantity", draw(seed + 1, 1, 5)).withColumn("_s", draw(seed + 2, 1, 10)) \
-            .withColumn("_r", draw(seed + 3, 1, len(regions))).withColumn("_d", draw(seed + 4, 0, days - 1))
-    x = x.join(products.select("product_id", "product_name", "category", "list_price"), "product_id")
+    x = keys.withColumn("quantity", draw(seed + 1, key, 1, 5)).withColumn("_s", draw(seed + 2, key, 1, 10)) \
+            .withColumn("_r", draw(seed + 3, key, 1, len(regions))).withColumn("_d", draw(seed + 4, key, 0, days - 1))
+    x = seeded_pick(x, key, products.select("product_id", "product_name", "category", "list_price"), "product_id", seed)
     return x.select(
         F.concat(F.lit("ORD-"), F.lpad(F.col(key).cast("string"), 12, "0")).alias("order_id"),
         F.date_add(F.lit(start), F.col("_d")).alias("order_date"), "product_id", "product_name", "category",

@@ -130,15 +130,3 @@ def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_
             .join(pats, F.col("_pattern") == F.col(pattern_col)).drop("_body", "_pattern")
         out = hits if out is None else out.unionByName(hits)
     return out
-
-
-def seeded_pick(rows: DataFrame, pool: DataFrame, pool_key: str, seed: int) -> DataFrame:
-    """Join every row to one pool row drawn by a seeded random key; ``pool_key`` runs from 1 to n.
-
-    The draw is one value per row (not per pair), so the row count is fixed.
-    """
-    n = pool.agg(F.count(F.lit(1))).first()[0]
-    drawn = rows.withColumn(pool_key, (F.floor(F.rand(seed) * n) + 1).cast("long"))
-    return drawn.join(pool, pool_key)
-
-

@@ -28,6 +28,13 @@ def profile(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
         f"stack({len(columns)}, {items}) as (column_name, n_rows, n_null, n_distinct, min_value, max_value)"))
 
 
+def exact_distinct(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct values (not null) per column; equal values of a column fold before the exchange."""
+    each = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("_v")) for c in columns])
+    values = df.select(F.explode(each).alias("x")).select("x.*").groupBy("column_name", "_v").agg(F.lit(1))
+    return values.groupBy("column_name").agg(F.count("_v").alias("n_exact"))
+
+
 def null_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     items = ", ".join(f"'{c}', _rows - {c}, _rows" for c in columns)
     g = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in columns])

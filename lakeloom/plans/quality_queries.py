@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from lakeloom.functions.numbers import count_if, pct
 from lakeloom.operators import quality
 from lakeloom.operators.aggregates import value_distribution
+from lakeloom.operators.day_profiles import DayProfiles
 from lakeloom.operators.quality import Rule
-from lakeloom.plans.registry import query
+from lakeloom.operators.sampling import estimated_failures
+from lakeloom.plans.registry import drawn_sql, query
 from lakeloom.plans.text_jobs import zscore_sql
+from lakeloom.session import shared_dir
 
 PROFILE_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 
@@ -123,6 +126,46 @@ def _sampled(f):
     return full.join(part, "rule")
 
 
+LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@query("dq_sample_estimates", f"""WITH d AS (SELECT *, {drawn_sql(7, *LINE_KEY)} / 281474976710656.0::DOUBLE AS u, count(*) OVER (PARTITION BY l_returnflag) AS big FROM lineitem),
+r AS ({" UNION ALL ".join(f"SELECT '{r.name}' AS rule, l_returnflag, u, big, ({r.predicate}) IS NOT TRUE AS bad FROM d" for r in RULES)}),
+g AS (SELECT rule, l_returnflag, big::DOUBLE AS big, (count(*) FILTER (u < 2000.0::DOUBLE / big))::DOUBLE AS n,
+  (count(*) FILTER (bad AND u < 2000.0::DOUBLE / big))::DOUBLE AS k FROM r GROUP BY rule, l_returnflag, r.big),
+e AS (SELECT rule, sum(n)::BIGINT AS sample_rows, sum(big) FILTER (n > 0) AS big, 100 * sum(big * k / n) FILTER (n > 0) / sum(big) FILTER (n > 0) AS est,
+  CASE WHEN count(*) FILTER (n < 2 AND n < big) = 0 THEN sqrt(sum(CASE WHEN n = big THEN 0 ELSE big * big * (1 - n / big) * (k / n) * (1 - k / n) / (n - 1) END)) END AS sd FROM g GROUP BY 1),
+b AS (SELECT rule, sample_rows, round(est, 3) AS estimate_pct, CASE WHEN sd IS NOT NULL THEN round(greatest(0.0::DOUBLE, est - 100 * 1.96::DOUBLE * sd / big), 3) END AS low_pct,
+  CASE WHEN sd IS NOT NULL THEN round(least(100.0::DOUBLE, est + 100 * 1.96::DOUBLE * sd / big), 3) END AS high_pct FROM e),
+w AS (SELECT rule, round(100.0::DOUBLE * sum(bad::INT) / count(*), 3) AS full_pct FROM r GROUP BY 1)
+SELECT b.*, full_pct, full_pct BETWEEN low_pct AND high_pct AS covered FROM b JOIN w USING (rule)""")
+def _sample_estimates(f):
+    """Failure shares from a stratified sample with their intervals, next to the full scan."""
+    part = estimated_failures(f.lineitem, LINE_KEY, ["l_returnflag"], RULES, 2000, 7)
+    full = quality.check_rules(f.lineitem, RULES).select("rule", F.round(100.0 * F.col("failed") / (F.col("passed") + F.col("failed")), 3).alias("full_pct"))
+    return part.join(full, "rule").withColumn("covered", F.col("full_pct").between(F.col("low_pct"), F.col("high_pct")))
+
+
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+@query("dq_profile_days", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, CAST(min({c}) AS VARCHAR) AS min_value, "
+    f"CAST(max({c}) AS VARCHAR) AS max_value, count(DISTINCT {c}) AS n_exact, true AS distinct_within FROM events" for c in EVENT_COLUMNS))
+def _profile_days(f):
+    """Profile of all events from kept days, the last one added again; the sketches' distinct counts are held against exact ones.
+
+    ``distinct_within`` allows three standard errors (5 %).
+    """
+    days = DayProfiles(f.spark, shared_dir(f.spark, "day-profiles"), f.events.schema, "ts")
+    days.add(f.events)
+    days.add_day(f.events, f.events_as_of.date())
+    exact = quality.exact_distinct(f.events, EVENT_COLUMNS)
+    within = F.abs(F.col("n_distinct") - F.col("n_exact")) <= 0.05 * F.col("n_exact")
+    return days.period().join(exact, "column_name").select("column_name", "n_rows", "n_null", "min_value", "max_value", "n_exact",
+                                                           within.alias("distinct_within"))
+
+
 @query("dq_daily_slice", """SELECT event_type, count(*) AS n, round(count(CASE WHEN value > 400 THEN 1 END) * 100.0::DOUBLE / count(*), 2) AS high_pct
 FROM events WHERE ts >= TIMESTAMP '2024-01-29' AND ts < TIMESTAMP '2024-01-30' GROUP BY 1""")
 def _slice(f):

@@ -25,6 +25,12 @@ def with_frames(sql: str, frames: tuple[str, ...]) -> str:
     return f"WITH {ctes}\n{sql}"
 
 
+def drawn_sql(seed, *cols) -> str:
+    """SQL of ``operators.sampling.drawn``."""
+    parts = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in (seed, *cols))
+    return f"CAST('0x' || left(md5({parts}), 12) AS BIGINT)"
+
+
 def query(name: str, sql: str | None = None, frames: str = ""):
     """Register ``fn(f: Frames) -> DataFrame`` under a key; ``sql`` is its twin (None: rows only)."""
 

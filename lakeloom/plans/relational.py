@@ -12,8 +12,9 @@ from lakeloom.functions.text import lines
 from lakeloom.operators import joins, sets
 from lakeloom.operators.aggregates import exact_percentile, with_share
 from lakeloom.operators.retrieval import ordered_text
+from lakeloom.operators.sampling import seeded_pick
 from lakeloom.operators.topk import history_arrays, last_messages, numbered, top, top_per_group
-from lakeloom.plans.registry import query
+from lakeloom.plans.registry import drawn_sql, query
 from lakeloom.sources.inline import values_relation
 
 # ---- projections and filters -------------------------------------------------------------------
@@ -220,10 +221,12 @@ def _explode(f):
     return f.documents.select("doc_id", F.posexplode(lines("text")).alias("line_no", "line"))
 
 
-@query("seeded_row_join")
+@query("seeded_row_join", f"""WITH p AS (SELECT p_partkey + 1 AS rn, p_name, p_retailprice, row_number() OVER (ORDER BY {drawn_sql("'pool'", 'p_partkey + 1')}, p_partkey) - 1 AS pick FROM part),
+o AS (SELECT o_orderkey, {drawn_sql(42, 'o_orderkey')} % n AS pick FROM orders CROSS JOIN (SELECT count(*) AS n FROM part))
+SELECT o_orderkey, rn, p_name, p_retailprice FROM o JOIN p USING (pick)""")
 def _seeded(f):
     pool = f.part.select((F.col("p_partkey") + 1).alias("rn"), "p_name", "p_retailprice")
-    return joins.seeded_pick(f.orders.select("o_orderkey"), pool, "rn", 42)
+    return seeded_pick(f.orders.select("o_orderkey"), "o_orderkey", pool, "rn", 42)
 
 
 # ---- aggregates --------------------------------------------------------------------------------

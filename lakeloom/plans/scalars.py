@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions.text import lines
 from lakeloom.functions.vectors import cosine, has_dim
 from lakeloom.operators.retrieval import search_content
-from lakeloom.plans.registry import query
+from lakeloom.plans.registry import drawn_sql, query
 
 
 @query("concat_coalesce", """SELECT source_id, ai_summary || ' / ' || module_name AS piped,
@@ -103,7 +103,12 @@ def _as_of(f):
         F.count(F.lit(1)).alias("n"), F.lit(f.as_of).alias("as_of"), F.lit("ANALYST").alias("principal"))
 
 
-@query("generate_orders")
+@query("generate_orders", f"""WITH p AS (SELECT *, row_number() OVER (ORDER BY {drawn_sql("'pool'", 'product_id')}, product_id) - 1 AS pick FROM products),
+k AS (SELECT c_custkey AS k, {drawn_sql(42, 'c_custkey')} % (SELECT count(*) FROM products) AS pick, CAST({drawn_sql(43, 'c_custkey')} % 5 + 1 AS INTEGER) AS quantity,
+  {drawn_sql(44, 'c_custkey')} % 10 + 1 AS s, {drawn_sql(45, 'c_custkey')} % 3 AS r, CAST({drawn_sql(46, 'c_custkey')} % 365 AS INTEGER) AS d FROM customer)
+SELECT 'ORD-' || lpad(CAST(k AS VARCHAR), 12, '0') AS order_id, DATE '2024-01-01' + d AS order_date, product_id, product_name, category, quantity,
+  list_price AS unit_price, quantity * list_price AS total_amount, CASE r WHEN 0 THEN 'EAST' WHEN 1 THEN 'WEST' ELSE 'OVERSEAS' END AS region,
+  CASE s WHEN 1 THEN 'cancelled' WHEN 2 THEN 'pending' ELSE 'completed' END AS status FROM k JOIN p USING (pick)""", "products")
 def _generate(f):
     """Synthetic orders, one per customer, with seeded draws joined to the products table."""
     from lakeloom.operators.generate import synthetic_orders

@@ -11,6 +11,7 @@ from lakeloom.plans.registry import query
 from lakeloom.plans.text_jobs import zscore_sql
 from lakeloom.session import shared_dir
 from lakeloom.streaming import jobs
+from lakeloom.streaming.recent import RecentMessages, recent_stream
 from lakeloom.streaming.sinks import UpsertLog
 
 
@@ -111,6 +112,22 @@ def _conversation(f):
     return log.latest()
 
 
+@query("stream_recent_messages", """WITH m AS (SELECT conv_id, turn, role, text, TIMESTAMP '2024-01-01' + to_seconds(conv_id * 60 + turn) AS said_at FROM conversations
+  WHERE conv_id IS NOT NULL AND turn IS NOT NULL QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY role DESC, text DESC) = 1),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS n FROM m)
+SELECT conv_id, CAST(count(*) AS INTEGER) AS n_kept, string_agg(coalesce(role, '') || ': ' || coalesce(text, ''), chr(10) ORDER BY turn) AS history, max(said_at) AS last_at,
+  max(said_at) >= (SELECT max(said_at) FROM m) - INTERVAL 1 HOUR AS live FROM t WHERE n <= 20 GROUP BY 1""")
+def _recent(f):
+    """Last 20 messages of every conversation; live are those heard from within the last hour (messages are a second, conversations a minute apart)."""
+    s = jobs.table_stream(f.spark, f.folder, "conversations").withColumn(
+        "at", F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, conv_id * 60 + turn)"))
+    root = shared_dir(f.spark, "recent")
+    kept = RecentMessages(f.spark, f"{root}/state", "conv_id", "turn", "at", "conv_id bigint, turn bigint, role string, text string, at timestamp_ntz", 20, 3600)
+    drain(recent_stream(s, kept, f"{root}/checkpoint"))
+    lines = F.transform("messages", lambda m: F.concat(F.coalesce(m.role, F.lit("")), F.lit(": "), F.coalesce(m.text, F.lit(""))))
+    return kept.state().select("conv_id", F.size("messages").alias("n_kept"), F.array_join(lines, "\n").alias("history"), "last_at", "live")
+
+
 @query("stream_anomaly", "SELECT day, n, CAST(total AS DOUBLE) AS total, zscore, is_anomaly FROM (" + zscore_sql(
     "SELECT 'all' AS series, CAST(ts AS DATE) AS day, count(*) AS n, sum(CAST(value AS DECIMAL(18,2))) AS total FROM events GROUP BY 2", "series", "day", "total") + ")")
 def _anomaly(f):
