@@ -117,7 +117,8 @@ def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_
         size = F.when(n >= q, F.lit(q)).otherwise(size)
     sized = pats.withColumn("_size", size)
     out = None
-    bodies = texts.select(F.col(text_col).alias("_body")).where("_body IS NOT NULL").distinct().withColumn("_t", F.sha2("_body", 256))
+    digest = F.sha2(text_col, 256)  # equal digests are taken as equal texts, so that no text is a key of an exchange
+    bodies = texts.where(F.col(text_col).isNotNull()).select(digest.alias("_t"), F.col(text_col).alias("_body")).dropDuplicates(["_t"])
     for q in sorted(r[0] for r in sized.select("_size").distinct().collect()):  # at most six values
         own = sized.where(F.col("_size") == q).select(F.col(pattern_col).alias("_pattern")).distinct()
         if q == 0:
@@ -126,7 +127,7 @@ def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_
             left = bodies.select("_t", F.explode(grams("_body", q)).alias("_gram"))
             met = left.join(own.withColumn("_gram", F.left("_pattern", F.lit(q))), "_gram").select("_t", "_pattern").distinct() \
                 .join(bodies, "_t").where(F.contains("_body", F.col("_pattern")))
-        hits = texts.join(met.select("_body", "_pattern"), F.col(text_col) == F.col("_body")) \
-            .join(pats, F.col("_pattern") == F.col(pattern_col)).drop("_body", "_pattern")
+        hits = texts.withColumn("_t", digest).join(met.select("_t", "_pattern"), "_t") \
+            .join(pats, F.col("_pattern") == F.col(pattern_col)).drop("_t", "_pattern")
         out = hits if out is None else out.unionByName(hits)
     return out
