@@ -19,7 +19,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeloom.operators import vectors
-from lakeloom.operators.joins import small_rows
 
 SAMPLE = 50_000        # rows the centroids are fitted on, at most
 TESTED = 200           # rows whose exact neighbours choose the number of probes, at most
@@ -27,14 +26,17 @@ MOST_LISTS = 16_384
 MOST_BYTES = 64 << 20  # of centroids that travel to the tasks
 BLOCK_ROWS = 20_000    # rows of a list that one task scores for a large query set
 ROUNDS = 12
+MOST_ASKED = 4 << 20   # list numbers of all queries that may travel to the tasks
+SCORED = 4 << 20       # scores against centroids held at a time
 
 
 def nearest(m: np.ndarray, centroids: np.ndarray, n: int = 1) -> np.ndarray:
     """Numbers of the ``n`` nearest centroids of each unit row, nearest first; ties to the lower number."""
     out = np.empty((len(m), n), np.int64)
-    for a in range(0, len(m), 4096):
-        s = np.round(m[a:a + 4096] @ centroids.T, vectors.DIGITS)
-        out[a:a + 4096] = np.argsort(-s, axis=1, kind="stable")[:, :n] if n > 1 else s.argmax(axis=1)[:, None]
+    step = max(1, min(4096, SCORED // max(1, len(centroids))))
+    for a in range(0, len(m), step):
+        s = np.round(m[a:a + step] @ centroids.T, vectors.DIGITS)
+        out[a:a + step] = np.argsort(-s, axis=1, kind="stable")[:, :n] if n > 1 else s.argmax(axis=1)[:, None]
     return out
 
 
@@ -71,56 +73,60 @@ class IvfIndex:
         size = self.stored.groupBy("list").agg(F.count("list").alias("n"))
         return self.probed(queries, query_id, query_vec).join(size, "list").groupBy("query_id").agg(F.sum("n").alias("read"))
 
-    def probed(self, queries: DataFrame, query_id: str, query_vec: str) -> DataFrame:
-        """query_id, qvec, list: a row for each list that a query reads."""
-        shared, n = queries.sparkSession.sparkContext.broadcast(self.centroids), self.probes
+    def asked(self, queries: DataFrame, query_id: str, query_vec: str) -> DataFrame:
+        """query_id, qvec, lists: the lists that each query reads, nearest first."""
+        shared, n = queries.sparkSession.sparkContext.broadcast(self.centroids), min(self.probes, len(self.centroids))
         q = queries.where(F.col(query_vec).isNotNull()).select(F.col(query_id).cast("long").alias("query_id"), F.col(query_vec).cast("array<double>").alias("qvec"))
 
         def run(batches):
-            for b in batches:
-                if b.num_rows:
-                    got = nearest(_matrix(b, "qvec", shared.value.shape[1]), shared.value, n)
-                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got.tolist(), pa.list_(pa.int64()))], ["query_id", "qvec", "lists"])
+            step = max(1, (1 << 20) // n)
+            for b in (b.slice(a, step) for b in batches for a in range(0, b.num_rows, step)):
+                got = nearest(_matrix(b, "qvec", shared.value.shape[1]), shared.value, n).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(got) + 1, dtype=np.int32) * n), pa.array(got.ravel()))
+                yield pa.RecordBatch.from_arrays([*b.columns, lists], ["query_id", "qvec", "lists"])
 
-        return q.mapInArrow(run, "query_id long, qvec array<double>, lists array<long>").select("query_id", "qvec", F.explode("lists").alias("list"))
+        return q.mapInArrow(run, "query_id long, qvec array<double>, lists array<int>")
+
+    def probed(self, queries: DataFrame, query_id: str, query_vec: str) -> DataFrame:
+        """query_id, qvec, list: a row for each list that a query reads."""
+        return self.asked(queries, query_id, query_vec).select("query_id", "qvec", F.explode(F.col("lists").cast("array<long>")).alias("list"))
 
     def topk(self, queries: DataFrame, query_id: str, query_vec: str, k: int, max_queries: int = vectors.MAX_QUERIES) -> DataFrame:
         """Best k of the rows in the probed lists: (query_id, item_id, score, rn)."""
-        probed = self.probed(queries, query_id, query_vec)
-        rows = small_rows(probed, max_queries * self.probes)
+        most = min(max_queries, MOST_ASKED // self.probes)
+        rows = self.asked(queries, query_id, query_vec).limit(most + 1).toArrow()  # one row a query, its vector once
         schema = "query_id long, item_id long, score double"
-        if rows is not None and not rows:
+        if not rows.num_rows:
             return queries.sparkSession.createDataFrame([], schema + ", rn int")
-        cand = self._shipped(rows, k, schema) if rows is not None else self._met(probed, k, schema)
+        cand = self._shipped(rows, k, schema) if rows.num_rows <= most else self._met(self.probed(queries, query_id, query_vec), k, schema)
         w = W.partitionBy("query_id").orderBy(F.col("score").desc(), "item_id")
         return cand.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
 
-    def _shipped(self, rows: list, k: int, schema: str) -> DataFrame:
+    def _shipped(self, rows: pa.Table, k: int, schema: str) -> DataFrame:
         """A bounded query set goes to the tasks; only the lists it names are read."""
-        asks: dict[int, list[int]] = {}
-        qid = sorted({r.query_id for r in rows})
-        at = {q: i for i, q in enumerate(qid)}
-        qm = np.zeros((len(qid), self.centroids.shape[1]))
-        for r in rows:
-            asks.setdefault(r.list, []).append(at[r.query_id])
-            qm[at[r.query_id]] = r.qvec
-        qm = vectors.unit_matrix(qm)
-        shared = self.stored.sparkSession.sparkContext.broadcast((asks, qid, qm))
+        rows = rows.combine_chunks()
+        qid = rows["query_id"].to_pylist()
+        qm = vectors.unit_matrix(rows["qvec"].combine_chunks().flatten().to_numpy().reshape(len(qid), self.centroids.shape[1]))
+        lists = rows["lists"].combine_chunks().flatten().to_numpy()
+        order = np.argsort(lists, kind="stable")
+        lists, who = lists[order], np.repeat(np.arange(len(qid), dtype=np.int32), len(lists) // len(qid))[order]
+        shared = self.stored.sparkSession.sparkContext.broadcast((lists, who, qid, qm))
 
         def score(batches):
-            asks, qid, qm = shared.value
+            lists, who, qid, qm = shared.value
             for b in batches:
                 if not b.num_rows:
                     continue
-                lists, ids = b.column("list").to_numpy(), b.column("item_id").to_numpy()
+                own, ids = b.column("list").to_numpy(), b.column("item_id").to_numpy()
                 m = _matrix(b, "vec", qm.shape[1])
-                for n in np.unique(lists).tolist():
-                    if n in asks:
-                        some = lists == n
-                        out = vectors._candidates([qid[i] for i in asks[n]], qm[asks[n]], ids[some], m[some], k, None)
+                for n in np.unique(own).tolist():
+                    ask = who[np.searchsorted(lists, n):np.searchsorted(lists, n, "right")]
+                    if len(ask):
+                        some = own == n
+                        out = vectors._candidates([qid[i] for i in ask], qm[ask], ids[some], m[some], k, None)
                         yield pa.RecordBatch.from_pandas(out, preserve_index=False)
 
-        return self.stored.where(F.col("list").isin(sorted(asks))).select("item_id", "vec", "list").mapInArrow(score, schema)
+        return self.stored.where(F.col("list").isin(np.unique(lists).tolist())).select("item_id", "vec", "list").mapInArrow(score, schema)
 
     def _met(self, probed: DataFrame, k: int, schema: str) -> DataFrame:
         """A large query set meets the lists, a long list in several blocks."""

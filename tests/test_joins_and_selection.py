@@ -163,6 +163,18 @@ def test_ivf_large_query_set(spark, clustered, monkeypatch):
     assert sorted(tuple(r) for r in index.topk(q, "q", "qv", 5).collect()) == sorted(tuple(r) for r in vectors.topk(clustered, "id", "v", q, "q", "qv", 5).collect())
 
 
+def test_ivf_brings_a_query_to_the_driver_once(spark, clustered, monkeypatch):
+    index = ivf.build(clustered, "id", "v", shared_dir(spark, "test-ivf"), lists=20)
+    index.probes, seen = 12, []
+    shipped = ivf.IvfIndex._shipped
+    monkeypatch.setattr(ivf.IvfIndex, "_shipped", lambda self, rows, k, schema: seen.append(len(rows)) or shipped(self, rows, k, schema))
+    q = clustered.where("id % 50 = 0").select(F.col("id").alias("q"), F.col("v").alias("qv"))
+    one = sorted(tuple(r) for r in index.topk(q, "q", "qv", 5).collect())
+    assert seen == [60]  # not a row for each of the lists it reads
+    monkeypatch.setattr(ivf, "MOST_ASKED", 100)  # 60 queries of 12 lists are too many to travel
+    assert sorted(tuple(r) for r in index.topk(q, "q", "qv", 5).collect()) == one and seen == [60]
+
+
 def test_ivf_of_little(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 0.0])], "id long, v array<double>")
     index = ivf.build(df, "id", "v", shared_dir(spark, "test-ivf"))
