@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.text import tokens
 
+MOST_CELLS = 1 << 18  # numbers of vectors that a task makes at a time, whatever the size of an Arrow batch
+
 
 def embed_hashing(df: DataFrame, key: list[str], text: str, dim: int = 768) -> DataFrame:
     """Vectors of texts by signed word hashing, scaled to length 1.
@@ -24,7 +26,8 @@ def embed_hashing(df: DataFrame, key: list[str], text: str, dim: int = 768) -> D
                                         F.array().cast("array<bigint>")).alias("_h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        step = max(1, MOST_CELLS // dim)
+        for b in (b.slice(a, step) for b in batches for a in range(0, b.num_rows, step)):
             col = b.column("_h")
             sizes = col.value_lengths().to_numpy(zero_copy_only=False)
             h = col.flatten().to_numpy(zero_copy_only=False)

@@ -22,6 +22,7 @@ from lakeloom.operators.joins import small_rows
 
 MAX_QUERIES = 4096
 BLOCK_ROWS = 20_000
+MOST_CELLS = 1 << 20  # numbers of vectors, or scores, that a task holds at a time, whatever the size of an Arrow batch
 DIGITS = 6  # scores are rounded before ranking, so equal vectors tie and the id decides
 
 
@@ -78,12 +79,18 @@ def topk(corpus: DataFrame, id_col: str, vec_col: str, queries: DataFrame, query
         qm = unit_matrix([r["qvec"] for r in rows])
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            step = max(1, MOST_CELLS // max(qm.shape))
             for b in batches:
-                if b.num_rows:
-                    ids = b.column("item_id").to_numpy(zero_copy_only=False)
-                    flat = b.column("vec").flatten().to_numpy(zero_copy_only=False)
-                    m = unit_matrix(flat.reshape(b.num_rows, qm.shape[1]))
-                    out = _candidates(qid, qm, ids, m, k, threshold)
+                found = []
+                for part in (b.slice(a, step) for a in range(0, b.num_rows, step)):
+                    ids = part.column("item_id").to_numpy(zero_copy_only=False)
+                    flat = part.column("vec").flatten().to_numpy(zero_copy_only=False)
+                    m = unit_matrix(flat.reshape(part.num_rows, qm.shape[1]))
+                    found.append(_candidates(qid, qm, ids, m, k, threshold))
+                found = [x for x in found if len(x)] or found[:1]
+                if found:
+                    best = pd.concat(found).sort_values(["query_id", "score", "item_id"], ascending=[True, False, True])
+                    out = best.groupby("query_id", sort=False, dropna=False).head(k)
                     yield pa.RecordBatch.from_pandas(out, preserve_index=False)
 
         cand = c.mapInArrow(score, schema)

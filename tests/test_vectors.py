@@ -109,3 +109,19 @@ def test_encoders(spark):
     assert v[3]["n_tokens"] == 0 and v[4]["n_tokens"] == 0 and not any(v[4]["vec"])
     w = {r["i"]: list(r["vec"]) for r in embed_with(df, ["i"], "t", lambda texts: [[len(t), 1.0] for t in texts]).collect()}
     assert w[1] == [7.0, 1.0] and w[4] == [0.0, 1.0]
+
+
+def test_small_slices_of_a_batch(spark, monkeypatch):
+    """Vectors are made and scored a few at a time; hits are those of whole batches, and a batch gives k rows a query."""
+    from lakeloom.operators import encoders, vectors
+    df = spark.createDataFrame([(i, " ".join(f"w{(i * j) % 23}" for j in range(1, 9))) for i in range(200)], "i long, t string")
+
+    def run():
+        v = encoders.embed_hashing(df, ["i"], "t", 32)
+        hits = vectors.topk(v, "i", "vec", v.where("i % 50 = 0").withColumnRenamed("i", "q").withColumnRenamed("vec", "qv"), "q", "qv", 4)
+        return sorted((r.i, r.n_tokens, tuple(r.vec)) for r in v.collect()), sorted(tuple(r) for r in hits.collect())
+
+    whole = run()
+    monkeypatch.setattr(encoders, "MOST_CELLS", 100)
+    monkeypatch.setattr(vectors, "MOST_CELLS", 100)
+    assert run() == whole
