@@ -5,19 +5,28 @@ partitioned by a hash of the term, one mark per document with its version, and t
 that it puts out of use. Nothing older is rewritten. A search reads only the partitions of the words that the
 queries use; postings out of use fall away by an anti join with the usually short list of dead pairs. The
 numbers of the corpus (documents, words) are written with each generation, which counts only once they are.
+
+The best documents are found in the tasks: a posting moves once, to its document, as numbers; a task adds up the
+scores of some documents at a time and keeps the best k of each query. Pairs of query and document, of which common words
+make nearly all, are never rows.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import tokens
-from lakeloom.operators.keyword import DOC_MARK, bm25_part, query_terms, rounded_score
+from lakeloom.operators.keyword import B, DOC_MARK, K1, bm25_part, query_terms, rounded_score
 from lakeloom.operators.topk import top_per_group
 
 BUCKETS = 64
 MOST_TERMS = 500_000  # words of all queries that may travel to the postings; beyond, postings are shuffled to them
+MOST_AMONG = 2_000_000  # documents of a search filter whose ids may travel to the postings
+MOST_ADDED = 1 << 20  # additions to scores that a task makes at a time
+KEPT = 1 << 18  # candidates of a task beyond which the best of each query are taken
 MARKS = -1  # partition of the document marks
 POSTINGS = "doc_id bigint, term string, tf bigint, doc_len int, version string, gen int, bucket int"
 DEAD = "doc_id bigint, dead_gen int, gen int"
@@ -100,27 +109,127 @@ class KeywordIndex:
         self.spark.createDataFrame([(self.n, self.words)], "n bigint, words bigint").coalesce(1).write.mode("overwrite").parquet(f"{root}/stats/gen=1")
         return fresh.open()
 
-    def scores(self, queries: DataFrame, query_id: str, text: str, among: DataFrame | None = None) -> DataFrame:
-        """BM25 (query_id, doc_id, score), as ``keyword.bm25_scores``; ``among`` (doc_id) is the corpus that counts."""
-        terms = query_terms(queries, query_id, text).withColumn("bucket", bucket_of("term", self.buckets))
-        asked = terms.groupBy("bucket").count().collect()  # at most ``buckets`` rows
-        small = F.broadcast if sum(r["count"] for r in asked) <= MOST_TERMS else lambda df: df
-        hit = self.live([r["bucket"] for r in asked]).join(small(terms.select("bucket", "term").distinct()), ["bucket", "term"], "left_semi")
+    def _hits(self, terms: DataFrame, among: DataFrame | None, cut):
+        """(postings in use of the partitions that the words lie in, ``cut`` to the words; number of documents, their mean length)."""
+        hit = cut(self.live([r["bucket"] for r in terms.select("bucket").distinct().collect()]))  # at most ``buckets`` rows
         n, avg_len = F.lit(self.n), F.lit(self.words / max(self.n, 1))
         if among is not None:
             among = among.select("doc_id")
+            if among.count() <= MOST_AMONG:  # else postings are shuffled to them
+                among = F.broadcast(among)
             hit = hit.join(among, "doc_id", "left_semi")
             sums = self.documents().join(among, "doc_id", "left_semi").agg(F.count("doc_id").alias("n"), F.sum("doc_len").alias("words"))
             n, avg_len = sums.select("n").scalar(), sums.select(F.col("words") / F.col("n")).scalar()
+        return hit, n, avg_len
+
+    def _terms(self, queries: DataFrame, query_id: str, text: str) -> DataFrame:
+        return query_terms(queries, query_id, text).withColumn("bucket", bucket_of("term", self.buckets))
+
+    def _shuffled(self, terms: DataFrame, among: DataFrame | None) -> DataFrame:
+        """(query_id, doc_id, score) of more words than may travel."""
+        words = terms.select("bucket", "term").distinct()
+        hit, n, avg_len = self._hits(terms, among, lambda rows: rows.join(words, ["bucket", "term"], "left_semi"))
         # each posting moves once, to its document; frequencies and scores read that one shuffle
         hit = hit.select("doc_id", "term", "tf", "doc_len").repartition("doc_id")
         df = hit.groupBy("term").agg(F.count("doc_id").alias("df"))
         q = terms.join(df, "term").withColumn("idf", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)))
         part = bm25_part(avg_len)
-        return hit.join(small(q.select("query_id", "term", "idf")), "term").groupBy("query_id", "doc_id").agg(rounded_score(part).alias("score"))
+        return hit.join(q.select("query_id", "term", "idf"), "term").groupBy("query_id", "doc_id").agg(rounded_score(part).alias("score"))
+
+    def _best(self, asked: pa.Table, terms: DataFrame, k: int, among: DataFrame | None) -> DataFrame:
+        """(query_id, doc_id, score) that hold the best k of each query; ``asked`` are the terms."""
+        words, ids = (asked.column(c).combine_chunks().dictionary_encode("encode") for c in ("term", "query_id"))
+        word, query = (x.indices.to_numpy().astype(np.int64) for x in (words, ids))
+        names = self.spark.createDataFrame(pa.table({"w": pa.array(np.arange(len(words.dictionary))), "term": words.dictionary}))
+        hit, n, avg_len = self._hits(terms, among, lambda rows: rows.join(F.broadcast(names), "term").select("w", "doc_id", "tf", "doc_len"))
+        df = hit.groupBy("w").agg(F.count("doc_id").alias("df"))
+        found = df.select("w", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"), avg_len.alias("avg_len")).toArrow()
+        idf = np.zeros(len(words.dictionary))
+        idf[found.column("w").to_numpy()] = found.column("idf").to_numpy()
+        avg = found.column("avg_len")[0].as_py() if found.num_rows else None
+        order = np.argsort(word, kind="stable")
+        first = np.searchsorted(word[order], np.arange(len(idf) + 1))
+        shared = self.spark.sparkContext.broadcast((idf, first, query[order], len(ids.dictionary)))
+        placed = hit.repartition("doc_id").sortWithinPartitions("doc_id")
+        best = placed.mapInArrow(lambda batches: best_of(batches, *shared.value, avg or 1.0, k), "_q bigint, doc_id bigint, score double")
+        numbers = self.spark.createDataFrame(pa.table({"_q": pa.array(np.arange(len(ids.dictionary))), "query_id": ids.dictionary}))
+        return best.join(F.broadcast(numbers), "_q").select("query_id", "doc_id", "score")
 
     def topk(self, queries: DataFrame, query_id: str, text: str, k: int, among: DataFrame | None = None) -> DataFrame:
-        return top_per_group(self.scores(queries, query_id, text, among), ["query_id"], [F.col("score").desc(), F.col("doc_id")], k)
+        """BM25 (query_id, doc_id, score, rn) as ``keyword.bm25_topk``; ``among`` (doc_id) is the corpus that counts."""
+        terms = self._terms(queries, query_id, text)
+        asked = terms.select("query_id", "term").limit(MOST_TERMS + 1).toArrow()
+        pairs = self._best(asked, terms, k, among) if asked.num_rows <= MOST_TERMS else self._shuffled(terms, among)
+        return top_per_group(pairs, ["query_id"], [F.col("score").desc(), F.col("doc_id")], k)
+
+
+def _ranked(query, null, doc, score, k: int) -> np.ndarray:
+    """Positions of the best k of each query: score descending, then no id before the smaller id."""
+    order = np.lexsort((doc, ~null, -score, query))
+    q = query[order]
+    return order[np.arange(len(q)) - np.searchsorted(q, q) < k]
+
+
+def best_of(batches, idf, first, query, queries: int, avg: float, k: int):
+    """The best k documents of each query among postings (w, doc_id, tf, doc_len) in order of doc_id.
+
+    Word w counts for the queries ``query[first[w]:first[w + 1]]``. Parts are added as whole numbers of 1e-9, as ``rounded_score`` does.
+    """
+    kept = [np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64), np.zeros(0)]
+    least = np.full(queries, -np.inf)  # the k-th best score of each query so far
+
+    def cut():
+        kept[:] = (x[at] for at in [_ranked(*kept, k)] for x in kept)
+        size = np.bincount(kept[0], minlength=queries)
+        last = np.cumsum(size) - 1  # in order of query and score
+        least[size >= k] = kept[3][last[size >= k]]
+
+    def add(w, null, doc, part):
+        """Scores of whole documents."""
+        times = first[w + 1] - first[w]
+        at = np.repeat(np.arange(len(w)), times)
+        q = query[np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first[w], times)]
+        new = np.r_[True, (doc[1:] != doc[:-1]) | (null[1:] != null[:-1])]
+        number, heads = (np.cumsum(new) - 1)[at], np.flatnonzero(new)
+        key, of = np.unique(number * queries + q, return_inverse=True) if len(heads) * queries > 4 * MOST_ADDED else (None, number * queries + q)
+        total = np.bincount(of, weights=part[at])
+        if key is None:
+            key = np.flatnonzero(np.bincount(of))
+            total = total[key]
+        score = np.floor((total + 50_000) / 100_000) / 1e4
+        q, d = key % queries, heads[key // queries]
+        some = score >= least[q]
+        for i, x in enumerate((q[some], null[d[some]], doc[d[some]], score[some])):
+            kept[i] = np.concatenate([kept[i], x])
+        if len(kept[0]) > KEPT + queries * k:
+            cut()
+
+    rest = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        ids = b.column("doc_id")
+        null = ids.is_null().to_numpy(zero_copy_only=False)
+        w, doc, tf, size = (b.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("w", "doc_id", "tf", "doc_len"))
+        part = np.floor(idf[w] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size / avg)) * 1e9 + 0.5)
+        rows = [w, null, doc, part] if rest is None else [np.concatenate(x) for x in zip(rest, (w, null, doc, part))]
+        w, null, doc, _ = rows
+        starts = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (null[1:] != null[:-1])])
+        done = np.r_[0, np.cumsum(first[w + 1] - first[w])]
+        a = 0
+        for i in range(1, len(starts)):  # the last document may go on in the next batch
+            if i == len(starts) - 1 or done[starts[i + 1]] - done[a] > MOST_ADDED:
+                add(*(x[a:starts[i]] for x in rows))
+                a = starts[i]
+        rest = [x[a:] for x in rows]
+    if rest is not None:
+        add(*rest)
+    if len(kept[0]):
+        cut()
+        q, null, doc, score = kept
+        for a in range(0, len(q), 10_000):
+            s = slice(a, a + 10_000)
+            yield pa.RecordBatch.from_arrays([pa.array(q[s]), pa.array(doc[s], mask=null[s]), pa.array(score[s])], ["_q", "doc_id", "score"])
 
 
 def file_state(table: DataFrame) -> int:

@@ -66,6 +66,24 @@ def test_search_reads_few_partitions(spark, rows):
     assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1][:200]
 
 
+def test_best_are_found_in_the_tasks(spark, rows, monkeypatch):
+    """Pairs of query and document never become rows, also where every document holds the words of every query."""
+    monkeypatch.setattr("lakeloom.operators.postings.MOST_ADDED", 40)  # several rounds a batch, and the best cut on the way
+    monkeypatch.setattr("lakeloom.operators.postings.KEPT", 1)
+    docs = [(i, "the cat " * (1 + i % 7) + f"w{i % 5}", "v1") for i in range(300)]
+    queries = rows("q int, x string", *((i, f"the cat w{i % 5}") for i in range(20)), (None, "w3"))
+    index = KeywordIndex(spark, shared_dir(spark, "test-index")).refresh(frame(rows, docs))
+    hits = index.topk(queries, "q", "x", 3)
+    order = lambda df: sorted((str(r.query_id), r.rn, str(r.doc_id), r.score) for r in df.collect())
+    assert order(hits) == order(bm25_topk(frame(rows, docs), "doc_id", "text", queries, "q", "x", 3))
+    assert "HashAggregate(keys=[query_id" not in hits._jdf.queryExecution().executedPlan().toString()
+    among = rows("doc_id long", *((i,) for i in range(0, 300, 3)))
+    few = order(index.topk(queries, "q", "x", 3, among))
+    monkeypatch.setattr("lakeloom.operators.postings.MOST_AMONG", 9)  # postings are shuffled to the filter
+    assert few == order(index.topk(queries, "q", "x", 3, among)) == order(
+        bm25_topk(frame(rows, docs).join(among, "doc_id", "left_semi"), "doc_id", "text", queries, "q", "x", 3))
+
+
 def test_file_state(spark, tmp_path):
     path = f"{tmp_path}/t"
     spark.range(3).write.parquet(path)
