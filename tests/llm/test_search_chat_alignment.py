@@ -361,6 +361,28 @@ def test_near_duplicate_recall(spark, docs):
     assert links > 50 and found >= 0.9 * links, (links, found)
 
 
+def test_near_duplicates_apart_from_the_hub(spark, docs):
+    """In a bucket of unlike texts those that are not like the hub are compared with each other."""
+    from lakeloom.llm import neardup
+    rng = np.random.default_rng(4)
+    base = [f"v{i}" for i in range(400)]
+
+    def changed(words, places):
+        words = list(words)
+        for i in places:
+            words[i] = f"n{rng.integers(1 << 30)}"
+        return words
+
+    out = []
+    for _ in range(40):  # parents of similarity 0.6 or so share buckets; each has one close copy
+        parent = changed(base, rng.choice(400, 10, replace=False))
+        out += [(len(out), " ".join(parent)), (len(out) + 1, " ".join(changed(parent, rng.choice(400, 7, replace=False))))]
+    sets = [Counter(tuple(t.split()[j:j + 5]) for j in range(396)) for _, t in out]
+    got = {r.doc_id: r.class_id for r in neardup.near_classes(docs(out)).collect()}
+    links = [(a, b) for a in range(80) for b in range(a) if 18 * sum((sets[a] & sets[b]).values()) >= 8 * 792]
+    assert len(links) >= 20 and sum(got[a] == got[b] for a, b in links) >= 0.97 * len(links)
+
+
 # --- 8 packing: checksums in place of ids ---------------------------------------------------------------
 
 def test_packing_digests(docs):
