@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeloom.functions.text import tokens
 from lakeloom.operators.keyword import B, DOC_MARK, K1, bm25_part, query_terms, rounded_score
@@ -26,6 +28,7 @@ BUCKETS = 64
 MOST_TERMS = 500_000  # words of all queries that may travel to the postings; beyond, postings are shuffled to them
 MOST_AMONG = 2_000_000  # documents of a search filter whose ids may travel to the postings
 MOST_ADDED = 1 << 20  # additions to scores that a task makes at a time
+POSTED = 1 << 16  # postings that leave a task at a time
 KEPT = 1 << 18  # candidates of a task beyond which the best of each query are taken
 MARKS = -1  # partition of the document marks
 POSTINGS = "doc_id bigint, term string, tf bigint, doc_len int, version string, gen int, bucket int"
@@ -37,6 +40,60 @@ def bucket_of(term: str, buckets: int):
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def runs(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(first row of each run of equal ids, run of each row); nulls are equal."""
+    null = ids.is_null().to_numpy(zero_copy_only=False)
+    other = pc.fill_null(pc.not_equal(ids[1:], ids[:-1]), False).to_numpy(zero_copy_only=False) | (null[1:] != null[:-1])
+    new = np.r_[np.ones(min(len(ids), 1), bool), other]
+    return np.flatnonzero(new), np.cumsum(new) - 1
+
+
+def postings_of(batches):
+    """Postings (doc_id, term, tf, doc_len, version) of documents (doc_id, version, words, the last of them the mark) in order of doc_id.
+
+    Rows that share an id are one document: frequencies add up, of lengths and versions the largest counts. Only the mark has
+    a version. Of a document that may go on in the next batch the postings are kept.
+    """
+    names = ["doc_id", "term", "tf", "doc_len", "version"]
+
+    def counted(b: pa.RecordBatch) -> pa.Table:
+        lists, (starts, run) = b.column("words"), runs(b.column("doc_id"))
+        words, size = lists.flatten().dictionary_encode(), pc.list_value_length(lists).to_numpy()
+        row = np.repeat(np.arange(b.num_rows), size)
+        key = run[row] * len(words.dictionary) + words.indices.to_numpy()
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        at, word = np.divmod(key[first], len(words.dictionary))
+        length = np.maximum.reduceat((size[row] - 1)[order], first)
+        mark = word == words.dictionary.index(DOC_MARK).as_py()
+        newest = b.column("version")
+        if len(starts) < b.num_rows:
+            each = newest.to_pylist()
+            newest = pa.array([max(each[a:z]) for a, z in zip(starts, [*starts[1:], len(each)])], pa.string())
+        return pa.table([b.column("doc_id").take(pa.array(starts[at])), words.dictionary.take(pa.array(word)), np.diff(np.r_[first, len(key)]),
+                         length.astype(np.int32), newest.take(pa.array(at, mask=~mark))], names)
+
+    rest = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = counted(b)
+        if rest is not None:
+            a = int(np.r_[runs(t.column("doc_id").combine_chunks())[0], t.num_rows][1])
+            both = pa.concat_tables([rest, t.slice(0, a)])
+            if len(runs(both.column("doc_id").combine_chunks())[0]) == 1:  # the document goes on
+                both = both.group_by(["doc_id", "term"]).aggregate([("tf", "sum"), ("doc_len", "max"), ("version", "max")])
+                t = pa.concat_tables([pa.table([both.column(c) for c in ("doc_id", "term", "tf_sum", "doc_len_max", "version_max")], names), t.slice(a)])
+            else:
+                yield from rest.to_batches()
+        last = int(runs(t.column("doc_id").combine_chunks())[0][-1])
+        yield from t.slice(0, last).to_batches(max_chunksize=POSTED)
+        rest = t.slice(last)
+    if rest is not None:
+        yield from rest.to_batches()
+
+
 class KeywordIndex:
     """Index under ``root``. Documents have a unique ``doc_id``, a ``text`` and a ``version`` that changes with the text."""
 
@@ -86,14 +143,14 @@ class KeywordIndex:
         else:
             changed = docs
         words = F.coalesce(tokens("text"), F.array().cast("array<string>"))
-        cut = changed.select("doc_id", "version", F.concat(words, F.array(F.lit(DOC_MARK))).alias("_t"))
-        cut = cut.select("doc_id", "version", (F.size("_t") - 1).alias("doc_len"), F.explode_outer("_t").alias("term"))
-        mark = F.col("term") == DOC_MARK
-        posted = cut.groupBy("doc_id", "term").agg(F.count("doc_len").alias("tf"), F.max("doc_len").alias("doc_len"),
-                                                   F.max(F.when(mark, F.col("version"))).alias("version"))
-        posted = posted.withColumn("bucket", F.when(mark, F.lit(MARKS)).otherwise(bucket_of("term", self.buckets)))
-        # one folder a partition of terms, files in order of terms; a partition that is large is written by several tasks
-        self._write(posted.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term"), "postings", "bucket")
+        placed = changed.repartition("doc_id").sortWithinPartitions("doc_id")  # rows of one id are one document
+        cut = placed.select("doc_id", "version", F.concat(words, F.array(F.lit(DOC_MARK))).alias("words"))
+        schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType)]).add("term", "string").add("tf", "long") \
+            .add("doc_len", "integer").add("version", "string")
+        posted = cut.mapInArrow(postings_of, schema)
+        posted = posted.withColumn("bucket", F.when(F.col("term") == DOC_MARK, F.lit(MARKS)).otherwise(bucket_of("term", self.buckets)))
+        # one folder a partition of terms; a partition that is large is written by several tasks
+        self._write(posted.hint("rebalance", "bucket"), "postings", "bucket")
         self.generation += 1
         got = self.documents().agg(F.count("doc_id").alias("n"), F.coalesce(F.sum("doc_len"), F.lit(0)).cast("bigint").alias("words")).first()
         self.n, self.words = got.n, got.words
@@ -105,7 +162,7 @@ class KeywordIndex:
         """The same index as one generation under a new root; switch readers over once it has returned."""
         fresh = KeywordIndex(self.spark, root, self.buckets)
         every = self.live([MARKS, *range(self.buckets)]).drop("gen")
-        fresh._write(every.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term"), "postings", "bucket")
+        fresh._write(every.hint("rebalance", "bucket"), "postings", "bucket")
         self.spark.createDataFrame([(self.n, self.words)], "n bigint, words bigint").coalesce(1).write.mode("overwrite").parquet(f"{root}/stats/gen=1")
         return fresh.open()
 

@@ -1,9 +1,11 @@
 """The keyword index on disk against a search that cuts all texts again."""
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from lakeloom.operators.keyword import bm25_topk
-from lakeloom.operators.postings import KeywordIndex, file_state
+from lakeloom.operators.keyword import DOC_MARK, bm25_topk
+from lakeloom.operators.postings import KeywordIndex, file_state, postings_of
 from lakeloom.session import shared_dir
 
 DOCS = [(1, "a cat and a dog", "v1"), (2, "the dog", "v1"), (3, "cat cat cat", "v1"), (4, None, "v1"), (5, "", None), (6, "エラー処理の方法 cat", "v1")]
@@ -92,3 +94,14 @@ def test_file_state(spark, tmp_path):
     spark.range(3).write.mode("append").parquet(path)
     assert file_state(spark.read.parquet(path)) != one
     assert isinstance(F.lit(1), object)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 20])
+def test_words_are_counted_in_the_tasks_whatever_the_batches(size):
+    rows = [(None, "v1", "a b a"), (None, "v2", "b"), (1, "v1", "x"), (2, "v1", "a a b"), (2, "v3", "a c c c d"), (2, "v2", "a"), (3, "v1", "")]
+    t = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "version": [r[1] for r in rows],
+                  "words": pa.array([[*r[2].split(), DOC_MARK] for r in rows], pa.list_(pa.string()))})
+    out = [r for b in postings_of(t.to_batches(max_chunksize=size)) for r in b.to_pylist()]
+    want = [(None, "a", 2, 3, None), (None, "b", 2, 3, None), (None, "", 2, 3, "v2"), (1, "x", 1, 1, None), (1, "", 1, 1, "v1"),
+            (2, "a", 4, 5, None), (2, "b", 1, 3, None), (2, "c", 3, 5, None), (2, "d", 1, 5, None), (2, "", 3, 5, "v3"), (3, "", 1, 0, "v1")]
+    assert sorted((tuple(r.values()) for r in out), key=str) == sorted(want, key=str)
