@@ -6,13 +6,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeloom.functions.text import tokens
 from lakeloom.operators.joins import small_rows
-from lakeloom.operators.topk import top_per_group
+from lakeloom.operators.postings import runs
 from lakeloom.operators.vectors import DIGITS, unit_matrix
 
 SENTENCE_BREAK = r"[.!?]+\s+|\n+"
@@ -36,21 +38,63 @@ def sentences(col: str | Column) -> Column:
     return F.split(c, SENTENCE_BREAK)
 
 
+def best_sentences(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """Places of the n best sentences of each document among sentences (id, pos, words); those of a document follow each other.
+
+    Of a document that goes on in the next batch only the number of each word in each place is kept.
+    """
+    def counted(ids, pos, terms, times) -> pa.Table:
+        return pa.table({"id": ids, "pos": pos, "term": terms, "n": times})
+
+    def picks(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Of whole documents."""
+        if not t.num_rows:
+            return
+        t = t.combine_chunks()
+        ids, pos, n_of = t.column("id").combine_chunks(), t.column("pos").to_numpy().astype(np.int64), t.column("n").to_numpy()
+        words = t.column("term").combine_chunks().dictionary_encode()
+        starts, doc = runs(ids)
+        _, word = np.unique(doc * len(words.dictionary) + words.indices.to_numpy(), return_inverse=True)
+        tf = np.bincount(word, weights=n_of)[word]
+        width = int(pos.max()) + 1
+        at, place = np.unique(doc * width + pos, return_inverse=True)
+        score = np.floor(np.bincount(place, weights=n_of * tf) / np.bincount(place, weights=n_of) * 1e6 + 0.5)
+        d, p = at // width, at % width
+        order = np.lexsort((p, -score, d))
+        rank = np.arange(len(order)) - np.searchsorted(d[order], d[order])
+        kept = np.sort(order[rank < n])  # in order of document and place
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[np.searchsorted(d[kept], np.arange(len(starts))), len(kept)], pa.int32()), pa.array(p[kept], pa.int32()))
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(starts)), lists], ["_id", "_pos"])
+
+    rest = None
+    for b in batches:
+        lists = b.column("words")
+        size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        row = pa.array(np.repeat(np.arange(b.num_rows), size))
+        t = counted(b.column("id").take(row), b.column("pos").take(row), lists.flatten(), pa.array(np.ones(len(row), np.int64)))
+        if not t.num_rows:
+            continue
+        t = t if rest is None else pa.concat_tables([rest, t])
+        last = int(runs(t.column("id").combine_chunks())[0][-1])
+        yield from picks(t.slice(0, last))
+        rest = t.slice(last).group_by(["id", "pos", "term"]).aggregate([("n", "sum")])
+        rest = counted(*(rest.column(c) for c in ("id", "pos", "term", "n_sum")))
+    if rest is not None:
+        yield from picks(rest)
+
+
 def summarize(docs: DataFrame, doc_id: str, text: str, n: int = 2) -> DataFrame:
-    """The n sentences with the highest mean word frequency, in text order."""
-    placed = docs.select(doc_id, text).repartition(doc_id)  # all steps below stay in this placement
-    s = placed.select(doc_id, F.posexplode_outer(sentences(text)).alias("pos", "s"))
-    words = s.select(doc_id, "pos", F.explode_outer(tokens("s")).alias("term")).where("term IS NOT NULL")
-    per = words.groupBy(doc_id, "pos", "term").agg(F.count(F.lit(1)).alias("n"))
-    freq = per.groupBy(doc_id, "term").agg(F.sum("n").alias("tf"), F.collect_list(F.struct("pos", "n")).alias("at"))
-    back = freq.select(doc_id, "tf", F.inline("at"))
-    scored = back.groupBy(doc_id, "pos").agg(
-        F.floor(F.sum(F.col("n") * F.col("tf")) / F.sum("n") * 1e6 + 0.5).alias("score"))
-    best = top_per_group(scored, [doc_id], [F.col("score").desc(), F.col("pos")], n)
-    picks = best.groupBy(doc_id).agg(F.sort_array(F.collect_list("pos")).alias("pos"))
-    all_s = placed.select(doc_id, sentences(text).alias("_all"))
-    return all_s.join(picks, doc_id).select(doc_id, F.array_join(
-        F.transform("pos", lambda p: F.trim(F.get(F.col("_all"), p))), " / ").alias("summary"))
+    """The n sentences with the highest mean word frequency, in text order.
+
+    A text moves once, to its document; words are counted in the tasks, a document at a time, and are never rows.
+    """
+    placed = docs.select(doc_id, text).where(F.col(doc_id).isNotNull()).repartition(doc_id)
+    s = placed.sortWithinPartitions(doc_id).select(F.col(doc_id).alias("id"), F.posexplode_outer(sentences(text)).alias("pos", "s"))
+    schema = T.StructType([T.StructField("_id", docs.schema[doc_id].dataType), T.StructField("_pos", T.ArrayType(T.IntegerType()))])
+    picks = s.select("id", "pos", tokens("s").alias("words")).mapInArrow(lambda batches: best_sentences(batches, n), schema)
+    best = F.filter(sentences(text), lambda s, i: F.array_contains("_pos", i))
+    return placed.join(picks.hint("shuffle_hash"), F.col(doc_id) == F.col("_id")).select(
+        doc_id, F.array_join(F.transform(best, lambda s: F.trim(s)), " / ").alias("summary"))
 
 
 def extract_answer(pairs: DataFrame, question_id: str, question: str, context: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions import dates
 from lakeloom.functions.numbers import avg_if, count_if, pct, sum_if
 from lakeloom.functions.text import fixed_windows, nonblank_line_count, strip_tags, tokens
-from lakeloom.operators import aggregates, dml, evaluation, impact, joins, keyword, migration, quality, retrieval, sets, topk
+from lakeloom.operators import aggregates, dml, evaluation, impact, joins, keyword, migration, quality, retrieval, sets, textjobs, topk
 from lakeloom.operators.chunking import chunk_lines
 from lakeloom.operators.semantic import Measure, Model, Relationship, infer_relationships, metric_query, read_model
 
@@ -332,3 +332,18 @@ def test_japanese_words_and_synonyms(rows):
     q = rows("i int, t string", (1, "T_7を使用しているジョブを教えて"), (2, "なし"))
     from lakeloom.operators.semantic import resolve_terms
     assert got(resolve_terms(q, "t", "i", terms)) == [(1, "使用しているジョブ", "crud_r_flag = 1")]
+
+
+@pytest.mark.parametrize("batch", [1, 3, 10_000])
+def test_summaries_move_texts_only(spark, rows, batch):
+    texts = [(1, "One cat. A cat sat! The dog.\nCat cat cat"), (2, "b a. a"), (2, "c c c. b b b. a"), (3, "..."), (4, None), (5, ""), (None, "x y. x"),
+             (6, "same words here. same words here. same words here")]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = textjobs.summarize(rows("id long, t string", *texts), "id", "t", 2)
+        assert sorted(tuple(r) for r in got.collect()) == [
+            (1, "One cat / Cat cat cat"), (2, "b a / a"), (2, "c c c / b b b"), (6, "same words here / same words here")]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Window" not in plan  # words and sentences are no rows to group
