@@ -194,6 +194,52 @@ def test_encoder_is_the_library():
     assert [np.frombuffer(b, "<u4").tolist() for b in e.encode(texts)] == want  # from the memo
 
 
+class Calls:
+    """Notes the calls of methods of ``of`` and of its model."""
+
+    def __init__(self, of, calls):
+        self.of, self.calls = of, calls
+
+    def __getattr__(self, name):
+        got = getattr(self.of, name)
+        if not callable(got):
+            return Calls(got, self.calls)
+
+        def called(*args, **more):
+            self.calls.append(name)
+            return got(*args, **more)
+
+        return called
+
+
+def test_encoder_calls_the_library_for_many_words_at_once():
+    parts = ["th", "an", "er", "ti", "È", "ción", "ou", "bl", "nd"]
+    words = [a + b + c + d for a in parts for b in parts for c in parts for d in parts[:6]]
+    e, calls = tokens.Encoder(tokens.tokenizer_path()), []
+    texts = [" ".join(words[i::4]) + " 12 it's\nEnd" for i in range(4)]
+    again = [", ".join(words[i::5]) + ". " + " ".join(words[:9]) for i in range(5)]
+    want = [[np.array(x.ids, "<u4").tobytes() for x in e.library.encode_batch(t, add_special_tokens=False)] for t in (texts, again)]
+    for name in {"library", "merges"} & vars(e).keys():
+        setattr(e, name, Calls(getattr(e, name), calls))
+    assert e.encode(texts) == want[0] and len(calls) < len(words) / 50
+    calls.clear()
+    assert e.encode(again) == want[1] and len(calls) < 10  # words are remembered without their marks
+
+
+def test_encoder_forgets(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 100)
+    e, most = tokens.Encoder(tokens.tokenizer_path()), 0
+    for k in range(40):
+        once = ["abcdefghij"[k % 10] + "x" * (1 + k // 10) + "klmnopqrst"[j % 10] + "y" * (j // 10) for j in range(30)]
+        texts = ["an often always. " + " ".join(once), "It's often, " + "z" * (70 + k), "always"]
+        assert e.encode(texts) == [np.array(x.ids, "<u4").tobytes() for x in e.library.encode_batch(texts, add_special_tokens=False)]
+        known = e.memo.pieces.to_pylist()
+        most = max(most, len(known))
+        assert len(known) <= 100 and len(set(known)) == len(known) and max(map(len, known)) <= tokens.LONGEST_MEMO
+        assert {"often", "always"} <= set(known)
+    assert most > 50
+
+
 def test_token_counts_are_the_library(docs):
     texts = odd_texts(2000, 4) + [t for _, t in ODD]
     got = token_counts.count_tokens(docs(list(enumerate(texts)))).collect()
