@@ -9,6 +9,8 @@ the number of shared bytes, over end bytes the pairs that end together, over gro
 How often two ids are linked is counted over the whole corpus: each chunk sends its distinct id pairs with their
 counts, Spark sums them by pair, and each chunk gets the sums of its own pairs back. Texts are read and
 tokenised once; tokens never travel, only distinct pairs of a chunk do, so a frequent pair is one row a chunk.
+A task holds one chunk at a time, however many it has: row groups of staged chunks are cut by their bytes, and
+a chunk meets the sums of its pairs alone.
 """
 
 from __future__ import annotations
@@ -37,7 +39,8 @@ from lakeloom.session import drop_dir, shared_dir
 RANKS = "byte_bpe_50k.tiktoken"  # the vocabulary of BYTE_BPE as ranks
 PIECES = "piece_bpe_32k.model"
 WORK = 1 << 22                   # entries of a product that are expanded at a time
-CHUNK_TEXT = 6 << 20             # bytes of text of a chunk; a longer text is a chunk of its own
+CHUNK_TEXT = 2 << 20             # bytes of text of a chunk; a longer text is a chunk of its own
+CUT_BLOCK = 8 << 20              # bytes of a row group of staged chunks, or one chunk
 PART_TEXT = 1 << 20              # bytes of text that are tokenised at a time, or one text
 
 
@@ -277,21 +280,18 @@ def _aligner(files: tuple[str, str, str], kind: str):
     return run
 
 
-def _answered(batches):
-    """Sums of the corpus-wide counts over the links of each document."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = {c: batch.column(c)[i] for c in batch.schema.names}
-            ids = row["doc_ids"].values
-            value = row["value"].values.to_numpy() if row["value"].is_valid else np.zeros(0, np.int64)
-            at = np.frombuffer(rows_of(row["at"].as_py()), np.uint32)
-            n_links = row["n_links"].values.to_numpy()
-            first = np.append(0, np.cumsum(n_links))
-            sums = [np.append(0, np.cumsum(x))[first] for x in ((value & 1)[at], (value >> 1)[at])]
-            yield pa.RecordBatch.from_arrays(
-                [ids, *(row[c].values for c in ("n_a", "n_b", "n_groups", "n_links")), pa.array(np.diff(sums[0]), pa.int64()),
-                 pa.array(np.diff(sums[1]), pa.int64()), row["groups_sha256"].values],
-                [c.split()[0] for c in ALIGNED.split(", ")])
+def _answered(cut, answers):
+    """Sums of the corpus-wide counts over the links of each document of one chunk."""
+    row = {c: cut.column(c)[0] for c in cut.schema.names}
+    value = np.zeros(answers.num_rows, np.int64)
+    value[answers.column("pos").to_numpy()] = answers.column("value").to_numpy()
+    at = np.frombuffer(rows_of(row["at"].as_py()), np.uint32)
+    first = np.append(0, np.cumsum(row["n_links"].values.to_numpy()))
+    sums = [np.append(0, np.cumsum(x))[first] for x in ((value & 1)[at], (value >> 1)[at])]
+    return pa.Table.from_arrays(
+        [row["doc_ids"].values, *(row[c].values for c in ("n_a", "n_b", "n_groups", "n_links")), pa.array(np.diff(sums[0]), pa.int64()),
+         pa.array(np.diff(sums[1]), pa.int64()), row["groups_sha256"].values],
+        [c.split()[0] for c in ALIGNED.split(", ")])
 
 
 def align(docs: DataFrame, kind: str = "end", vocabulary: str | None = None, ranks: str | None = None,
@@ -308,7 +308,9 @@ def align(docs: DataFrame, kind: str = "end", vocabulary: str | None = None, ran
     files = (vocabulary or tokenizer_path(BYTE_BPE), ranks or tokenizer_path(RANKS), pieces or tokenizer_path(PIECES))
     folders = [shared_dir(spark, "aligned"), shared_dir(spark, "id-pairs")]
     rows = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    cut = staged(rows.mapInArrow(_aligner(files, kind), CUT), "aligned", folders[0])
+    # Parquet's writer looks at its size after 100 rows first, and a reader holds a row group: here every row is large
+    cut = staged(rows.mapInArrow(_aligner(files, kind), CUT), "aligned", folders[0],
+                 **{"parquet.block.size": CUT_BLOCK, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1})
     count = cut.select(F.explode(F.arrays_zip("pairs", "counts")).alias("p")).groupBy(F.col("p.pairs").alias("pair")) \
         .agg(F.sum("p.counts").alias("n"))
     count = staged(count.withColumn("b", F.expr("int(pair >> 32)")), "id-pairs", folders[1])
@@ -316,9 +318,8 @@ def align(docs: DataFrame, kind: str = "end", vocabulary: str | None = None, ran
     count = count.join(F.broadcast(most), "b")  # a row for each id of B's vocabulary
     value = F.col("n") * 2 + (F.col("n") == F.col("most")).cast("long")
     asked = cut.select("chunk", F.posexplode("pairs").alias("pos", "pair"))
-    answers = asked.join(count.select("pair", value.alias("value")), "pair").groupBy("chunk").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda x: x.value).alias("value"))
-    out = cut.drop("pairs", "counts").join(answers, "chunk", "left").mapInArrow(_answered, ALIGNED)
+    answers = asked.join(count.select("pair", value.alias("value")), "pair").select(F.col("chunk").alias("of"), "pos", "value")
+    out = cut.drop("pairs", "counts").groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(_answered, ALIGNED)
     return out, count.select(F.expr("int(pair & 4294967295)").alias("a"), "b", "n", (F.col("n") == F.col("most")).alias("best")), folders
 
 

@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -265,6 +266,21 @@ def test_alignment(spark, docs, tmp_path, both, monkeypatch):
     assert {(r.a, r.b): r.n for r in pairs.collect()} == dict(count)
 
 
+def test_alignment_holds_a_chunk_at_a_time(spark, docs, tmp_path, both, monkeypatch):
+    """A task with many chunks writes and reads them in row groups of bounded bytes, and answers one at a time."""
+    import pyarrow.parquet as pq
+    rows = [(i, " ".join(f"word{i * j % 997}" for j in range(150))) for i in range(60)]
+    monkeypatch.setattr(alignment, "CHUNK_TEXT", 1000)
+    monkeypatch.setattr(alignment, "CUT_BLOCK", 4000, raising=False)
+    out, _, folders = alignment.align(docs(rows).coalesce(1))
+    files = [pq.ParquetFile(f) for f in sorted(Path(folders[0].removeprefix("file:")).glob("*.parquet"))]
+    groups = [f.metadata.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
+    assert sum(groups) >= 30 and max(groups) <= 4
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "FlatMapCoGroupsInArrow" in plan
+    assert sorted((tuple(r[c] for c in COLUMNS) for r in out.collect()), key=repr) == expected(both, rows)[0]
+
+
 def test_alignment_empty(spark, docs):
     out, pairs, _ = alignment.align(docs([]))
     assert out.collect() == [] and pairs.collect() == []
