@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from conftest import CLASH, ODD
@@ -399,6 +400,39 @@ def test_near_duplicates_apart_from_the_hub(spark, docs):
     assert len(links) >= 20 and sum(got[a] == got[b] for a, b in links) >= 0.97 * len(links)
 
 
+def test_near_duplicates_of_large_mixed_buckets(spark, docs, monkeypatch):
+    """All texts of a bucket are compared unless they are in one class already, however many are unlike its hub."""
+    from lakeloom.llm import arrays, neardup
+    rng = np.random.default_rng(5)
+    base = [f"v{i}" for i in range(200)]
+
+    def changed(words, times):
+        words = list(words)
+        for i in rng.choice(200, times, replace=False):
+            words[i] = f"n{rng.integers(1 << 30)}"
+        return words
+
+    out = []
+    for _ in range(250):  # parents of similarity 0.65 or so fill buckets; each has one copy of similarity 0.8 or a little more
+        parent = changed(base, 4)
+        out += [(len(out), " ".join(parent)), (len(out) + 1, " ".join(changed(parent, 4)))]
+    strings = next(arrays.slices(pa.array([t for _, t in out])))[1]
+    keys, owner, times = neardup.multisets(*neardup.shingles(arrays.words_of(strings)[1]))
+    slots = neardup.signatures(keys, owner, times, len(out)).reshape(len(out), neardup.BANDS, neardup.ROWS)
+    sets = [set(keys[owner == i].tolist()) for i in range(len(out))]  # no shingle comes twice
+    links = [(a, b) for a in range(len(out)) for b in np.flatnonzero((slots[:a] == slots[a]).all(axis=2).any(axis=1)).tolist()
+             if 18 * len(sets[a] & sets[b]) >= 8 * (len(sets[a]) + len(sets[b]))]
+    label = list(range(len(out)))
+    for a, b in links:
+        label = [min(label[a], label[b]) if x in (label[a], label[b]) else x for x in label]
+    assert len(links) >= 150 and len(set(label)) > 50
+    for block in (None, 16):
+        if block:
+            monkeypatch.setattr(neardup, "BLOCK", block, raising=False)
+        got = {r.doc_id: r.class_id for r in neardup.near_classes(docs(out)).collect()}
+        assert [got[i] for i in range(len(out))] == label
+
+
 # --- 8 packing: checksums in place of ids ---------------------------------------------------------------
 
 def test_packing_digests(docs):
