@@ -169,6 +169,16 @@ def test_toxic_texts_are_not_trusted(spark):
     assert sorted(r.doc_id for r in quality.trusted_ids(labels).collect()) == [1, 3]
 
 
+def test_all_trusted_texts_are_used(spark, monkeypatch):
+    labels = spark.range(200_010).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    assert quality.trusted_ids(labels).count() == 200_010
+    rows = [(i if i % 9 else None, f"own{i} " + " ".join(f"v{(i * j) % 91}" for j in range(40))) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sent = quality.log_ratios(df, labels.where("doc_id < 90"))
+    monkeypatch.setattr(quality, "MOST_SENT", 10, raising=False)
+    assert sent.any() and (quality.log_ratios(df, labels.where("doc_id < 90")) == sent).all()
+
+
 def test_too_few_trusted_texts_judge_nothing(spark):
     df = spark.createDataFrame([(i, f"own{i} " + " ".join(f"v{(i * j) % 91}" for j in range(40))) for i in range(60)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id bigint, quality int, toxic int")
